@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .joins import join_null_safe
 
 LATENESS = timedelta(minutes=10)
@@ -68,24 +70,39 @@ def require_unique(updates: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"several updates for one key: {repeated.asDict()}")
 
 
-def merge_by_key(path: str, updates: DataFrame, keys: list[str], partition_by: str, order_by: list[str] = ()) -> None:
+def _only_partitions_of(target: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
+    """The part of ``target`` in the partitions ``updates`` falls in, as a filter that prunes folders."""
+    # One value per day or bucket, never per row.
+    touched = [r[0] for r in updates.select(partition).distinct().collect()]
+    wanted = F.col(partition).isin([v for v in touched if v is not None])
+    return target.where(wanted | F.col(partition).isNull() if None in touched else wanted)
+
+
+def merge_by_key(
+    path: str, updates: DataFrame, keys: list[str], partition_by: str, order_by: Sequence[str] = ()
+) -> None:
     """Upsert ``updates`` into the parquet table at ``path``, created on first use.
 
     ``partition_by`` must be a function of the key, so that a row never moves
     between partitions. Then only the partitions the updates touch are read and
     rewritten (dynamic overwrite); all others are left alone. Running the same
     updates again gives the same table.
+
+    The updates are computed once, into the shared scratch folder: they are read
+    for the uniqueness check, the partitions touched and the merge itself.
     """
     from ..sinks import table_exists, write_partitioned
 
     spark = updates.sparkSession
+    staged = scratch_dir(spark, "updates")
+    updates.write.parquet(staged)
+    updates = spark.read.schema(updates.schema).parquet(staged)
     require_unique(updates, keys)
     rows = updates
     if table_exists(spark, path):
         target = spark.read.parquet(path)
-        # One value per day or bucket, never per row.
-        touched = [r[0] for r in updates.select(partition_by).distinct().collect()]
-        part = target[partition_by]
-        pruned = target.where(part.isin([v for v in touched if v is not None]) | (F.lit(None in touched) & part.isNull()))
-        rows = merge_rows(pruned, updates, keys)
-    write_partitioned(rows, path, [partition_by], order_by=list(order_by), mode="overwrite")
+        # A change of columns rewrites the whole table, so that all files agree.
+        if dict(target.dtypes) == dict(updates.dtypes):
+            target = _only_partitions_of(target, updates, partition_by)
+        rows = merge_rows(target, updates, keys)
+    write_partitioned(rows, path, [partition_by], order_by)

@@ -66,6 +66,7 @@ def asof_join(
     start: str,
     end: str,
     take: list[str],
+    keys_from: DataFrame | None = None,
     bucket_seconds: int = 3600,
     hot_rows: int = 2_000_000,
 ) -> DataFrame:
@@ -79,6 +80,10 @@ def asof_join(
     bucket, and the version open at a bucket's start is carried in as one more
     row. A (key, bucket) with more than ``hot_rows`` events is spread over
     several groups, each with its own copy of the few versions it needs.
+
+    Which buckets are in use is counted first. ``keys_from`` may name a cheaper
+    frame for that, such as the stored table ``events`` was made from: it needs
+    the two columns, at least the pairs of ``events``, and may have more.
     """
     def bucketed(df: DataFrame, column: str) -> DataFrame:
         return df.withColumn("_bucket", time_bucket(F.col(column), bucket_seconds))
@@ -89,9 +94,10 @@ def asof_join(
         .select(key, "_bucket", version.alias("_version"))
     )
     placed = bucketed(events, time)
+    countable = placed if keys_from is None else bucketed(keys_from.select(key, time), time)
 
     # One row per (key, bucket): how many events it has, which version it ends with.
-    counted = placed.where(F.col(key).isNotNull() & F.col(time).isNotNull()).groupBy(key, "_bucket").agg(
+    counted = countable.where(F.col(key).isNotNull() & F.col(time).isNotNull()).groupBy(key, "_bucket").agg(
         F.count(F.lit(1)).alias("_events")
     )
     closing = known.groupBy(key, "_bucket").agg(F.max("_version").alias("_last"))

@@ -16,6 +16,7 @@ def nearest_match(
     right_value: Column,
     take: str,
     tolerance: float,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to the nearest ``right`` row: equal keys, values within ``tolerance``.
 
@@ -27,7 +28,8 @@ def nearest_match(
     combinations, which takes the weight off popular keys before any shuffle.
     Values are put in buckets twice as wide as the tolerance and right rows are
     offered to the neighbouring buckets, so a popular key is split by value
-    instead of comparing all of its pairs.
+    instead of comparing all of its pairs. ``keys_from`` may name a cheaper frame
+    to read the combinations from, with at least those of ``left``.
     """
     n = len(left_keys)
     keys = [f"_key{i}" for i in range(n)]
@@ -42,8 +44,9 @@ def nearest_match(
         return df.dropna(subset=keys)
 
     rows = keyed(left, left_keys, left_value)
+    combinations = rows if keys_from is None else keyed(keys_from, left_keys, left_value)
     wanted = (
-        usable(rows.select(*keys, "_value"))
+        usable(combinations.select(*keys, "_value"))
         .distinct()
         .withColumn("_slot", F.floor(F.col("_value") / width).cast("bigint"))
     )

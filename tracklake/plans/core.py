@@ -64,7 +64,7 @@ def dim_pages(page_views: DataFrame) -> DataFrame:
     )
 
 
-def match_songs(listens: DataFrame, songs: DataFrame) -> DataFrame:
+def match_songs(listens: DataFrame, songs: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
     """``pk_song`` of the song with the same title and artist and the nearest duration."""
     return nearest_match(
         listens,
@@ -75,12 +75,13 @@ def match_songs(listens: DataFrame, songs: DataFrame) -> DataFrame:
         right_value=F.col("duration"),
         take="pk_song",
         tolerance=DURATION_TOLERANCE,
+        keys_from=keys_from,
     )
 
 
-def user_at(events: DataFrame, users: DataFrame, time: str) -> DataFrame:
+def user_at(events: DataFrame, users: DataFrame, time: str, keys_from: DataFrame | None = None) -> DataFrame:
     """``pk_user`` of the user version valid at ``time``."""
-    return asof_join(events, users, key="user_id", time=time, take=["pk_user"], **VALIDITY)
+    return asof_join(events, users, key="user_id", time=time, take=["pk_user"], keys_from=keys_from, **VALIDITY)
 
 
 def fact_listen_events(
@@ -92,9 +93,9 @@ def fact_listen_events(
     fact is needed afterwards. Repeats are removed on the key columns alone.
     """
     rows = listens.select(*LISTEN_KEY).distinct()
-    rows = match_songs(rows, songs)
+    rows = match_songs(rows, songs, keys_from=listens)
     rows = lookup_join(rows, locations, LOCATION_MATCH, "pk_location")
-    rows = user_at(rows, users, "event_datetime")
+    rows = user_at(rows, users, "event_datetime", keys_from=listens)
     key = ["event_datetime", "user_id", "song", "artist", "duration", "postal_code", "city", "state"]
     return rows.select(
         surrogate_key(rows, key).alias("listen_event_key"), "event_datetime", "pk_user", "pk_location", "pk_song"
@@ -161,7 +162,9 @@ def fact_session_events(
     )
     rows = lookup_join(sessions, locations, LOCATION_MATCH, "pk_location")
     rows = lookup_join(rows, pages, {"first_page": "page_name"}, "pk_page", "pk_entry_page")
-    return user_at(rows, users, "session_start_datetime").select(
+    # Sessions start at a page view, so the page views name all times in question.
+    starts = page_views.select("user_id", F.col("event_datetime").alias("session_start_datetime"))
+    return user_at(rows, users, "session_start_datetime", keys_from=starts).select(
         "session_start_datetime",
         "session_id",
         "pk_user",

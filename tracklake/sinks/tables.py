@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,31 +27,36 @@ def with_event_date(df: DataFrame, instant: str, name: str = "event_date") -> Da
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by: list[str], order_by: list[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    order_by: Sequence[str] = (),
+    replace_all: bool = False,
 ) -> None:
-    """Write by partition, each sorted by ``order_by``; overwrite touches only the partitions in ``df``.
+    """Write by partition, each sorted by ``order_by``.
 
-    Rows are gathered by partition and cluster columns. Adaptive execution splits
-    a partition that is too big for one task, so a busy day becomes several files.
+    Only the partitions present in ``df`` are replaced, unless ``replace_all``.
+    Rows are gathered by partition; adaptive execution splits a partition that
+    is too big for one task, so that a busy day becomes several files.
     """
     laid_out = df.hint("rebalance", *partition_by)
     if order_by:
         laid_out = laid_out.sortWithinPartitions(*partition_by, *order_by)
     (
-        laid_out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        laid_out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
-def write_clustered(df: DataFrame, path: str, cluster_by: list[str], mode: str = "overwrite") -> None:
+def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str]) -> None:
     """Range-partition and sort by ``cluster_by``, so file statistics can skip on them."""
     (
         df.repartitionByRange(*cluster_by)
         .sortWithinPartitions(*cluster_by)
-        .write.mode(mode)
+        .write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .parquet(path)
     )
@@ -60,7 +67,7 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: list[str] = ()) -> DataFrame:
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> DataFrame:
     """The table at ``path``; an empty one with ``schema`` is created where none exists."""
     if not table_exists(spark, path):
         empty = spark.createDataFrame([], schema)

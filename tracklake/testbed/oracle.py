@@ -87,7 +87,7 @@ STATUS_VERSION = """
     QUALIFY row_number() OVER (PARTITION BY s.event_datetime, s.user_id, s.prev_level
         ORDER BY u.row_effective_datetime DESC, u.row_expiry_datetime DESC, u.pk_user DESC, u.level DESC) = 1"""
 
-ORACLE: dict[str, str] = {name: over_models(f"SELECT * FROM {model}") for name, model in MODEL_QUERIES.items()}
+ORACLE: dict[str, str] = {name: over_models(f"SELECT * FROM {spec[0]}") for name, spec in MODEL_QUERIES.items()}
 ORACLE["subscription_journey"] = over_models(
     "SELECT * EXCLUDE (upgraded_user) FROM mart_user_subscription_journey"
 )
