@@ -64,19 +64,28 @@ EVENT_DATE, USER_BUCKET = "event_date", "user_bucket"
 
 
 class Tables(Mapping):
-    """The stored models below ``root``, without their partition helper columns."""
+    """The stored models below ``root``, without their partition helper columns.
+
+    A table is listed once and read again only after ``forget``.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._open: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def forget(self, name: str) -> None:
+        self._open.pop(name, None)
+
     def stored(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(self.path(name))
+        return self._open[name]
 
     def __contains__(self, name) -> bool:
-        return table_exists(self.spark, self.path(name))
+        return name in self._open or table_exists(self.spark, self.path(name))
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.stored(name).drop(EVENT_DATE, USER_BUCKET)
@@ -117,6 +126,7 @@ def store(tables: Tables, name: str, df: DataFrame, merge: bool = False) -> None
         write_clustered(placed, tables.path(name), layout.cluster_by)
     else:
         overwrite_table(placed, tables.path(name))
+    tables.forget(name)
 
 
 def refresh(

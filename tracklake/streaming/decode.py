@@ -22,11 +22,16 @@ def decoded_with_context(messages: DataFrame, topic: str) -> DataFrame:
 
 
 def _reason() -> Column:
-    """Why a message cannot be stored; NULL for a good one."""
+    """Why a message cannot be stored; NULL for a good one.
+
+    Only the event time is needed to store a message. A field of the wrong type
+    is NULL in an event that is otherwise kept.
+    """
+    no_time = F.col("data").isNull() | F.col("data.ts").isNull()
     return (
-        F.when(F.col("value").isNull() | F.col("data").isNull(), "empty message")
-        .when(F.col(f"data.{CORRUPT}").isNotNull(), "unreadable json")
-        .when(F.col("data.ts").isNull(), "no event time")
+        F.when(F.col("value").isNull(), "empty message")
+        .when(no_time & F.col(f"data.{CORRUPT}").isNotNull(), "unreadable json")
+        .when(no_time, "no event time")
     )
 
 

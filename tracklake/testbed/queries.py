@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -306,25 +306,13 @@ def level_flip(s: Shapes) -> DataFrame:
 
 @query
 def string_decode(s: Shapes) -> DataFrame:
-    """Whole document texts, octal-escaped as UTF-8 bytes, and back."""
-    # One escape per byte: \303\251 for an e with an acute accent.
-    escaped = F.concat(F.lit('"'), escape_non_ascii(F.col("text")), F.lit('"'))
+    """Whole document texts read in the wrong encoding, some letters as octal escapes, and back."""
+    misread = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    safe = F.replace(misread, F.lit("\\"), F.lit("\\134"))
+    escaped = F.replace(safe, F.decode(F.encode(F.lit("é"), "UTF-8"), "ISO-8859-1"), F.lit("\\303\\251"))
     return s.table("documents").select("doc_id", fn.repair_text(escaped).alias("repaired"))
 
 
-def escape_non_ascii(text: Column) -> Column:
-    """Each byte of the UTF-8 form that is not ASCII, or a backslash, as a three-digit octal escape."""
-    digits = F.hex(F.encode(text, "UTF-8"))
-    code = F.regexp_extract_all(digits, F.lit("(..)"), F.lit(1))
-
-    def escape(byte: Column) -> Column:
-        number = F.conv(byte, 16, 10).cast("int")
-        octal = F.concat(F.lit("\\"), F.lpad(F.conv(byte, 16, 8), 3, "0"))
-        return F.when((number > 127) | (number == 92), octal).otherwise(F.char(number))
-
-    return F.array_join(F.transform(code, escape), "")
-
-
 # --- dedup, grouping, windows ---------------------------------------------
 
 
