@@ -24,6 +24,7 @@ from tracklake.operators import (
     merge_by_key,
     merge_rows,
     nearest_match,
+    next_within,
     previous_within,
     since,
     sync_schema,
@@ -72,6 +73,9 @@ def test_previous_within_matches_lag(spark, bucket):
     got = previous_within(df, "k", "t", "before", [F.col("i")], bucket)
     want = df.selectExpr("k", "t", "i", "lag(t) over (partition by k order by t, i) as before")
     assert rows(got, "k", "t", "i", "before") == rows(want)
+    after = next_within(df, "k", "t", "after", [F.col("i")], bucket)
+    want = df.selectExpr("k", "t", "i", "lead(t) over (partition by k order by t, i) as after")
+    assert rows(after, "k", "t", "i", "after") == rows(want)
 
 
 # --- as-of and interval join ----------------------------------------------
@@ -80,8 +84,9 @@ def test_previous_within_matches_lag(spark, bucket):
 def brute_asof(events, versions):
     out = []
     for key, t, i in events:
-        hits = [v for v in versions if key is not None and t is not None and v[0] == key and v[1] <= t < v[2]]
-        out.append((key, t, i, max(hits, key=lambda v: v[1])[3] if hits else None))
+        begun = [v for v in versions if t is not None and v[0] == key and v[1] <= t and v[1] < v[2]]
+        latest = max(begun, key=lambda v: v[1], default=None)
+        out.append((key, t, i, latest[3] if latest and t < latest[2] else None))
     return out
 
 
@@ -97,21 +102,28 @@ def chained_versions(keys, seed):
     return versions
 
 
-@pytest.mark.parametrize("bucket, hot", [(3600, 10**6), (60, 10**6), (10**8, 10), (3600, 1)])
-def test_asof_join_matches_brute_force(spark, bucket, hot):
+@pytest.mark.parametrize("most, slot", [(1000, 10), (0, 10), (0, 3600), (0, 10**8), (8, 600)])
+def test_asof_join_matches_brute_force(spark, most, slot):
     random.seed(3)
-    versions = chained_versions([1, 2, 3], 4)
+    versions = chained_versions([1, 2, 3], 4) + chained_versions([2], 5)[:4]  # key 2 has more, overlapping ones
+    versions = [(k, a, b, f"{k}-{a.isoformat()}" if a < b else name) for k, a, b, name in versions]
     events = [(random.choice([1, 1, 1, 2, 3, 4, None]), at(random.randrange(-100, 1000)), i) for i in range(400)]
     events += [(1, v[1], 1000 + i) for i, v in enumerate(versions)] + [(1, None, 2000), (None, None, 2001)]
     ev = spark.createDataFrame(events, "k int, t timestamp, i int")
     ve = spark.createDataFrame(versions, "k int, a timestamp, b timestamp, name string")
     common = {"key": "k", "time": "t", "start": "a", "end": "b", "take": ["name"]}
-    got = asof_join(ev, ve, bucket_seconds=bucket, hot_rows=hot, **common)
+    got = asof_join(ev, ve, max_versions=most, slot_seconds=slot, **common)
     want = sorted(brute_asof(events, versions), key=lambda r: [(v is not None, str(v)) for v in r])
     assert rows(got, "k", "t", "i", "name") == want
-    assert rows(interval_join(ev, ve, **common), "k", "t", "i", "name") == want
     wider = ev.select("k", "t").unionByName(ev.select("k", "t"))
-    assert rows(asof_join(ev, ve, keys_from=wider, bucket_seconds=bucket, hot_rows=hot, **common), "k", "t", "i", "name") == want
+    assert rows(asof_join(ev, ve, keys_from=wider, max_versions=most, slot_seconds=slot, **common), "k", "t", "i", "name") == want
+
+
+def test_interval_join_gives_every_valid_version(spark):
+    versions = spark.createDataFrame([(1, at(0), at(10), "a"), (1, at(5), at(20), "b")], "k int, s timestamp, e timestamp, v string")
+    events = spark.createDataFrame([(1, at(m)) for m in (-1, 7, 15)], "k int, t timestamp")
+    got = interval_join(events, versions, key="k", time="t", start="s", end="e", take=["v"])
+    assert rows(got, "t", "v") == [(at(-1), None), (at(7), "a"), (at(7), "b"), (at(15), "b")]
 
 
 def test_asof_boundaries(spark):

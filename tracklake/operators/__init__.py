@@ -1,10 +1,11 @@
+from .asof import asof_join, disjoint_versions
 from .dedup import drop_repeats, keep_first, latest_rows
 from .incremental import high_water_mark, late_rows, merge_by_key, merge_rows, single_value, since, sync_schema
-from .joins import asof_join, interval_join, join_null_safe, lookup_join
+from .joins import interval_join, join_null_safe, lookup_join
 from .load import field_or_null, load_tolerant
 from .match import nearest_match
 from .quality import Check, check_report, violations
-from .ranking import dense_rank_within, previous_within
+from .ranking import dense_rank_within, next_within, previous_within
 from .scd2 import final_changes, user_history, user_versions
 
 __all__ = [
@@ -12,6 +13,7 @@ __all__ = [
     "asof_join",
     "check_report",
     "dense_rank_within",
+    "disjoint_versions",
     "drop_repeats",
     "field_or_null",
     "final_changes",
@@ -26,6 +28,7 @@ __all__ = [
     "merge_by_key",
     "merge_rows",
     "nearest_match",
+    "next_within",
     "previous_within",
     "since",
     "single_value",

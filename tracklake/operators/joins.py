@@ -9,11 +9,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import time_bucket
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join in which NULL keys match each other; the key columns of ``left`` stay."""
@@ -45,8 +43,8 @@ def interval_join(
 ) -> DataFrame:
     """Left join of each event to every version with ``start <= time < end``.
 
-    The plain form: an equi-join with the bounds as residual. Suits keys with
-    few versions and intervals of any shape; ``asof_join`` is the linear form.
+    The plain form: an equi-join with the bounds as residual. Suits intervals of
+    any shape and keys with few versions each.
     """
     right = versions.select(
         F.col(key).alias("_key"), F.col(start).alias("_start"), F.col(end).alias("_end"), *take
@@ -55,99 +53,3 @@ def interval_join(
         (events[key] == right["_key"]) & (events[time] >= right["_start"]) & (events[time] < right["_end"])
     )
     return events.join(right, inside, "left").drop("_key", "_start", "_end")
-
-
-def asof_join(
-    events: DataFrame,
-    versions: DataFrame,
-    *,
-    key: str,
-    time: str,
-    start: str,
-    end: str,
-    take: list[str],
-    keys_from: DataFrame | None = None,
-    bucket_seconds: int = 3600,
-    hot_rows: int = 2_000_000,
-) -> DataFrame:
-    """Columns ``take`` of the latest-starting version valid at each event's time.
-
-    Versions of one key may touch or share a start, but a later one must not end
-    before an earlier one does (type-2 dimensions never nest); empty ones are
-    ignored. Every event is kept exactly once.
-
-    Work is linear: events and versions are sorted together per key and time
-    bucket, and the version open at a bucket's start is carried in as one more
-    row. A (key, bucket) with more than ``hot_rows`` events is spread over
-    several groups, each with its own copy of the few versions it needs.
-
-    Which buckets are in use is counted first. ``keys_from`` may name a cheaper
-    frame for that, such as the stored table ``events`` was made from: it needs
-    the two columns, at least the pairs of ``events``, and may have more.
-    """
-    def bucketed(df: DataFrame, column: str) -> DataFrame:
-        return df.withColumn("_bucket", time_bucket(F.col(column), bucket_seconds))
-
-    version = F.struct(F.col(start).alias("start"), F.col(end).alias("end"), *take)
-    known = (
-        bucketed(versions.where(F.col(key).isNotNull() & (F.col(start) < F.col(end))), start)
-        .select(key, "_bucket", version.alias("_version"))
-    )
-    placed = bucketed(events, time)
-    countable = placed if keys_from is None else bucketed(keys_from.select(key, time), time)
-
-    # One row per (key, bucket): how many events it has, which version it ends with.
-    counted = countable.where(F.col(key).isNotNull() & F.col(time).isNotNull()).groupBy(key, "_bucket").agg(
-        F.count(F.lit(1)).alias("_events")
-    )
-    closing = known.groupBy(key, "_bucket").agg(F.max("_version").alias("_last"))
-    earlier = Window.partitionBy(key).orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
-    carried = (
-        counted.unionByName(closing, allowMissingColumns=True)
-        .withColumn("_version", F.last("_last", ignorenulls=True).over(earlier))
-        .where(F.col("_events").isNotNull() & F.col("_version").isNotNull())
-        .select(key, "_bucket", "_version")
-    )
-
-    # At most (all events / hot_rows) rows, so the broadcast has a known bound.
-    hot = counted.where(F.col("_events") > hot_rows).select(
-        F.col(key).alias("_hot_key"),
-        F.col("_bucket").alias("_hot_bucket"),
-        F.ceil(F.col("_events") / F.lit(hot_rows)).cast("int").alias("_ways"),
-    )
-
-    def with_ways(df: DataFrame) -> DataFrame:
-        same = (df[key] == hot["_hot_key"]) & (df["_bucket"] == hot["_hot_bucket"])
-        return df.join(F.broadcast(hot), same, "left").drop("_hot_key", "_hot_bucket")
-
-    spread_by = F.xxhash64(*[F.col(c) for c in events.columns])
-    unplaced = F.col(key).isNull() | F.col(time).isNull()
-    # Rows without key or time match nothing; they only have to be spread.
-    ways = F.when(unplaced, F.lit(4096)).otherwise(F.col("_ways"))
-    points = (
-        with_ways(placed)
-        .withColumn("_slot", F.when(ways.isNotNull(), F.pmod(spread_by, ways)).otherwise(F.lit(0)).cast("int"))
-        .withColumns({"_at": F.col(time).cast("timestamp"), "_is_event": F.lit(1)})
-        .drop("_ways")
-    )
-    slots = F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1)
-    openers = (
-        with_ways(known.unionByName(carried))
-        .withColumn("_slot", F.explode(slots))
-        .withColumns({"_at": F.col("_version.start").cast("timestamp"), "_is_event": F.lit(0)})
-        .drop("_ways")
-    )
-    running = (
-        Window.partitionBy(key, "_bucket", "_slot")
-        .orderBy("_at", "_is_event", "_version")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    resolved = (
-        points.unionByName(openers, allowMissingColumns=True)
-        .withColumn("_hit", F.last("_version", ignorenulls=True).over(running))
-        .where("_is_event = 1")
-    )
-    valid = F.col("_hit.end") > F.col(time)
-    return resolved.select(
-        *[F.col(c) for c in events.columns], *[F.when(valid, F.col(f"_hit.{c}")).alias(c) for c in take]
-    )

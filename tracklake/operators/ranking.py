@@ -24,24 +24,36 @@ def dense_rank_within(df: DataFrame, group: list[str], value: str, name: str) ->
 def previous_within(
     df: DataFrame, key: str, time: str, name: str, ties: list[Column] | None = None, bucket_seconds: int = 3600
 ) -> DataFrame:
-    """``lag(time, 1)`` per ``key`` in time order, as column ``name``.
+    """``lag(time, 1)`` per ``key`` in time order, as column ``name``."""
+    return _neighbour(df, key, time, name, ties or [], bucket_seconds, F.lag, F.max)
 
-    Rows are sorted per key and time bucket. The first row of a bucket takes the
-    last time of the key's previous bucket, from a table of one row per key and
-    bucket whose size per key is bounded by the calendar.
+
+def next_within(
+    df: DataFrame, key: str, time: str, name: str, ties: list[Column] | None = None, bucket_seconds: int = 3600
+) -> DataFrame:
+    """``lead(time, 1)`` per ``key`` in time order, as column ``name``."""
+    return _neighbour(df, key, time, name, ties or [], bucket_seconds, F.lead, F.min)
+
+
+def _neighbour(df, key, time, name, ties, bucket_seconds, step, edge) -> DataFrame:
+    """Lag or lead by time buckets.
+
+    Rows are sorted per key and time bucket. The outermost row of a bucket takes
+    the nearest time of the key's neighbouring bucket, from a table of one row
+    per key and bucket whose size per key is bounded by the calendar.
     """
     bucketed = df.withColumn("_bucket", time_bucket(F.col(time), bucket_seconds))
-    inside = Window.partitionBy(key, "_bucket").orderBy(F.col(time), *(ties or []))
-    before = Window.partitionBy(key).orderBy("_bucket")
+    inside = Window.partitionBy(key, "_bucket").orderBy(F.col(time), *ties)
+    across = Window.partitionBy(key).orderBy("_bucket")
     carry = (
         bucketed.groupBy(key, "_bucket")
-        .agg(F.max(time).alias("_last"))
-        .withColumn("_carry", F.lag("_last", 1).over(before))
-        .drop("_last")
+        .agg(edge(time).alias("_edge"))
+        .withColumn("_carry", step("_edge", 1).over(across))
+        .drop("_edge")
     )
-    rows = bucketed.withColumn("_lag", F.lag(time, 1).over(inside))
+    rows = bucketed.withColumn("_near", step(time, 1).over(inside))
     return (
         join_null_safe(rows, carry, [key, "_bucket"], "left")
-        .withColumn(name, F.coalesce("_lag", "_carry"))
-        .drop("_bucket", "_lag", "_carry")
+        .withColumn(name, F.coalesce("_near", "_carry"))
+        .drop("_bucket", "_near", "_carry")
     )

@@ -417,7 +417,7 @@ def asof_session(s: Shapes) -> DataFrame:
 
 @query
 def asof_status(s: Shapes) -> DataFrame:
-    """With hour-long buckets and groups split above 100 rows, as on a hot key."""
+    """With every key treated as one of very many versions."""
     m = with_tables(s, "stg_status_change_events", "dim_users")
     rows = asof_join(
         m["stg_status_change_events"],
@@ -427,8 +427,8 @@ def asof_status(s: Shapes) -> DataFrame:
         start="row_effective_datetime",
         end="row_expiry_datetime",
         take=["pk_user", "level"],
-        bucket_seconds=30 * 86_400,
-        hot_rows=100,
+        max_versions=0,
+        slot_seconds=3600,
     )
     return rows.drop("bucket_ingestion_datetime")
 
