@@ -37,16 +37,25 @@ def user_history(users: DataFrame, status: DataFrame) -> DataFrame:
     s = status.select(
         F.col("user_id").alias("_user"), F.col("event_datetime").alias("_changed"), F.col("prev_level").alias("_prev")
     )
-    paired = u.join(s, u["user_id"] == s["_user"], "left").where(
+    # An inner join can be split on either side where one user has very many changes.
+    changed = s.join(u, s["_user"] == u["user_id"]).where(
         F.col("_changed").isNull() | (F.col("_changed") >= F.col("_emitted"))
     )
     ties = [F.col("_emitted"), F.col("first_name"), F.col("last_name"), F.col("gender"), F.col("_prev")]
-    return previous_within(paired, "user_id", "_changed", "_previous", ties).select(
+    history = previous_within(changed, "user_id", "_changed", "_previous", ties).select(
         *PROFILE,
         F.coalesce("_prev", "level").alias("level"),
         F.coalesce("_previous", "registration_datetime").alias("row_effective_datetime"),
         F.coalesce(F.col("_changed"), _open_end()).alias("row_expiry_datetime"),
     )
+    known = s.select("_user").distinct()
+    unchanged = u.join(known, u["user_id"] == known["_user"], "left_anti").select(
+        *PROFILE,
+        "level",
+        F.col("registration_datetime").alias("row_effective_datetime"),
+        _open_end().alias("row_expiry_datetime"),
+    )
+    return history.unionByName(unchanged)
 
 
 def user_versions(users: DataFrame, status: DataFrame) -> DataFrame:

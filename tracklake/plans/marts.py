@@ -26,11 +26,18 @@ def _day() -> Column:
 
 
 def mart_daily_trending_songs(listens: DataFrame) -> DataFrame:
-    """Plays and listeners per day, song and artist, ranked by plays within the day."""
-    daily = (
+    """Plays and listeners per day, song and artist, ranked by plays within the day.
+
+    Plays are counted per listener first. That shuffle takes the weight off hot
+    songs, and the rows and their ranks are both made from it.
+    """
+    per_listener = (
         listens.where(F.col("song") != "NA")
-        .groupBy(_day(), "song", "artist")
-        .agg(F.count(F.lit(1)).alias("play_count"), F.count_distinct("user_id").alias("unique_listeners"))
+        .groupBy(_day(), "song", "artist", "user_id")
+        .agg(F.count(F.lit(1)).alias("_plays"))
+    )
+    daily = per_listener.groupBy("activity_date", "song", "artist").agg(
+        F.sum("_plays").alias("play_count"), F.count("user_id").alias("unique_listeners")
     )
     ranked = dense_rank_within(daily, ["activity_date"], "play_count", "rank")
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
