@@ -25,6 +25,29 @@ def disjoint_versions(versions: DataFrame, key: str, start: str, end: str, take:
     return next_within(single, key, start, "_next").withColumn(end, F.least(end, "_next")).drop("_next")
 
 
+def _open_at(slots: DataFrame, key: str, block: int = 3600) -> DataFrame:
+    """``_open``: the newest ``_last`` of an earlier slot of the key.
+
+    Slots are sorted per key and block of slots; what a block begins with comes
+    from a table of one row per key and block.
+    """
+    blocks = slots.withColumn("_block", F.floor(F.col("_slot") / F.lit(block)))
+    inside = Window.partitionBy(key, "_block").orderBy("_slot").rangeBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    begun = (
+        blocks.groupBy(key, "_block")
+        .agg(F.max("_last").alias("_newest"))
+        .withColumn("_begun", F.last("_newest", ignorenulls=True).over(across))
+        .drop("_newest")
+    )
+    return (
+        blocks.withColumn("_inside", F.last("_last", ignorenulls=True).over(inside))
+        .join(begun, [key, "_block"], "left")
+        .withColumn("_open", F.coalesce("_inside", "_begun"))
+        .drop("_inside", "_begun", "_block")
+    )
+
+
 def asof_join(
     events: DataFrame,
     versions: DataFrame,
@@ -36,7 +59,7 @@ def asof_join(
     take: list[str],
     keys_from: DataFrame | None = None,
     max_versions: int = 1000,
-    slot_seconds: int = 10,
+    slot_seconds: int = 1,
 ) -> DataFrame:
     """Columns ``take`` of the latest-starting version valid at each event's time.
 
@@ -47,7 +70,8 @@ def asof_join(
     one shuffle of the events, in which adaptive execution splits hot keys. A
     key with more would compare too many pairs, so its events and versions are
     joined on (key, time slot) instead; the version open when a slot begins is
-    carried into it. Whether there are such keys is counted first, from
+    carried into it. With times in milliseconds no event then meets more than
+    about 1,000 versions either. Whether there are such keys is counted first, from
     ``versions`` alone. ``keys_from`` may name a cheaper frame to read the slots
     in use from, with at least the (key, time) pairs of ``events``.
     """
@@ -68,17 +92,10 @@ def asof_join(
     version = F.struct(start, end, *take)
     right = slotted(known, start)
     used = slotted((events if keys_from is None else keys_from).select(key, time), time)
-    # One row per busy key and slot in use or with a change: bounded by the calendar.
     in_use = used.where("_busy IS NOT NULL AND _slot IS NOT NULL").select(key, "_slot").distinct()
     closing = right.where("_busy IS NOT NULL").groupBy(key, "_slot").agg(F.max(version).alias("_last"))
-    earlier = Window.partitionBy(key).orderBy("_slot").rangeBetween(Window.unboundedPreceding, -1)
-    carried = (
-        in_use.withColumn("_wanted", F.lit(True))
-        .unionByName(closing, allowMissingColumns=True)
-        .withColumn("_open", F.last("_last", ignorenulls=True).over(earlier))
-        .where("_wanted AND _open IS NOT NULL")
-        .select(key, "_slot", "_open.*")
-    )
+    slots = in_use.withColumn("_wanted", F.lit(True)).unionByName(closing, allowMissingColumns=True)
+    carried = _open_at(slots, key).where("_wanted AND _open IS NOT NULL").select(key, "_slot", "_open.*")
     columns = [key, "_slot", start, end, *take]
     candidates = right.select(*columns).unionByName(carried.select(*columns)).toDF(
         "_key", "_at_slot", "_start", "_end", *take
