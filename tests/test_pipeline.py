@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +46,20 @@ def test_increment_equals_full_build_and_repeats_change_nothing(spark, shapes, t
         assert tables["fact_listen_events"].count() == tables["stg_listen_events"].count()
 
 
+def test_facts_from_a_day_leave_earlier_days_alone(spark, shapes, tmp_path):
+    root = str(tmp_path / "wh")
+    names = ("stg_status_change_events", "dim_users", "fact_status_change_events")
+    refresh(spark, root, Before(shapes), names=names)
+    fact = tmp_path / "wh" / "fact_status_change_events"
+    written = {p: p.stat().st_mtime_ns for p in fact.glob("event_date=*/*.parquet")}
+    tables = refresh(spark, root, shapes, names=names, facts_from=date(2024, 1, 15))
+    early = [p for p in written if p.parent.name < "event_date=2024-01-15"]
+    assert early and all(p.exists() and p.stat().st_mtime_ns == written[p] for p in early)
+    whole = Models(shapes)["fact_status_change_events"]
+    keys = ("status_change_event_key", "event_datetime", "prev_level", "next_level")
+    assert rows(tables["fact_status_change_events"], *keys) == rows(whole, *keys)
+
+
 def test_late_rows_beyond_the_lateness_are_lost_and_countable(spark, shapes, tmp_path):
     root, name = str(tmp_path / "wh"), "stg_status_change_events"
     raw = shapes["status_change_events"]

@@ -6,9 +6,10 @@ facts are upserted; everything else is rebuilt and overwritten.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,12 @@ INCREMENTAL = {
     "stg_users": ("user_info", staging.stg_users),
 }
 
+# The staging table each merged fact takes its events from.
+FACT_EVENTS = {
+    "fact_listen_events": "stg_listen_events",
+    "fact_status_change_events": "stg_status_change_events",
+}
+
 EVENT_DATE, USER_BUCKET = "event_date", "user_bucket"
 
 
@@ -136,11 +143,16 @@ def refresh(
     full_refresh: bool = False,
     lateness: timedelta = LATENESS,
     names: Iterable[str] = MODELS,
+    facts_from: date | None = None,
 ) -> Tables:
     """Bring the tables below ``root`` up to date with ``raw``.
 
     An incremental staging model reads what is newer than its table less the
-    lateness. Models not named must already be stored.
+    lateness. Models not named are read where stored, else computed where needed.
+
+    The merged facts are rebuilt from all staged events, as songs may appear
+    later than their plays. ``facts_from`` limits that to events since a day:
+    earlier days are then neither read nor rewritten.
     """
     tables = Tables(spark, root)
     wanted = set(names)
@@ -155,6 +167,11 @@ def refresh(
                 updates = staging.keep_first_emission(tables[name], updates)
         else:
             # Models built earlier are read as tables, this one is computed.
-            updates = getattr(Models(raw, tables), name)
+            inputs = tables
+            if exists and facts_from and name in FACT_EVENTS:
+                events = FACT_EVENTS[name]
+                recent = tables.stored(events).where(F.col(EVENT_DATE) >= F.lit(facts_from)).drop(EVENT_DATE)
+                inputs = ChainMap({events: recent}, tables)
+            updates = getattr(Models(raw, inputs), name)
         store(tables, name, updates, merge=exists)
     return tables

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators.quality import Check
 from ..plans.checks import CHECKS
-from .models_sql import LISTEN, MODELS_SQL, PLACE, TIMES, category, clean_title, exact_sum, key, rounded
+from .models_sql import LISTEN, MODELS_SQL, category, clean_title, exact_sum, key, rounded
 from .queries import CUT_MILLIS, MODEL_QUERIES
 from .shapes_sql import RAW_SQL
 
