@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from tracklake.testbed.queries import QUERIES
 
 from .conftest import SMALL
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert sorted(contract.oracle_sql()) == NAMES
+    assert set(NAMES) <= set(contract.oracle_sql()) & set(contract.queries())
 
 
 def test_entry(spark):
