@@ -25,4 +25,37 @@ SELECT p.page_id, host, path, rule,
 FROM p LEFT JOIN hit USING (page_id)
 """
 
-ORACLE: dict[str, str] = {"op4_url_filter": OP4}
+OP2 = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+  FROM documents
+), b AS (
+  SELECT item_id,
+    list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+  FROM benchmark
+), g AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
+), h AS (
+  SELECT r, i, n, item_id
+  FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+        FROM (SELECT d.r, d.w, s.n, unnest(range(1, len(d.w) - s.n + 2)) AS i FROM d, (SELECT DISTINCT n FROM g) s WHERE len(d.w) >= s.n)
+       ) JOIN g USING (win, n)
+), hits AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM h) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op2_decontamination": OP2, "op4_url_filter": OP4}

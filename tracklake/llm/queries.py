@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import quality, urlfilter
+from tracklake.llm import decontaminate, html_text, packing, quality, simhash, urlfilter
 from tracklake.llm.common import read
 
 SITE_RULES = (
@@ -19,6 +20,29 @@ SITE_RULES = (
 )
 
 
+def tokenizer_files() -> tuple[bytes, str]:
+    """Ranks and split pattern of the public 50k byte-level vocabulary; the installed package knows their place."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes(), public_tokenizers.PATTERN
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in sequences of at most 1024."""
+    pieces = packing.pack(read(spark, sf_dir, "documents"), *tokenizer_files())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the site rules, else by the default rules."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -27,6 +51,18 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labels outside the held-out fifth."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -36,6 +72,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op4_url_filter": op4_url_filter,
+    "op5_html_text": op5_html_text,
+    "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }
