@@ -90,7 +90,8 @@ def find_hits(
     n_grams = grams.count()
     w, at = F.col("w"), F.col("at")
     text = F.col(f"`{text_col}`").cast("string")
-    split = docs.select(text_key(text_col).alias("key"), words(text).alias("w"))
+    # Behind a generator the words are made once; a plain projection would be repeated inside every lambda.
+    split = docs.select(text_key(text_col).alias("key"), F.explode(F.array(words(text))).alias("w"))
     if n_grams <= set_limit:
         found = []
         for size in sizes:
@@ -103,8 +104,7 @@ def find_hits(
             hit = F.filter(places, _starts(w, width, heads))
             found.append(F.transform(hit, _sized(size)))
         places = F.concat(*found) if found else F.array().cast("array<struct<at:int,size:int>>")
-        narrowed = split.select("key", "w", places.alias("places")).where(F.size("places") > 0)
-        cut = narrowed.select("key", "w", F.explode("places").alias("p")).select("key", "w", "p.at", "p.size")
+        cut = split.select("key", "w", F.explode(places).alias("p")).select("key", "w", "p.at", "p.size")
         candidates = cut.select("key", "at", "size", _window(w, at, F.col("size")).alias("window"))
         verified = candidates.join(F.broadcast(grams.drop("head")), ["window", "size"])  # at most set_limit rows
     else:

@@ -30,13 +30,13 @@ WITH d AS (
   SELECT doc_id, row_number() OVER () AS r,
     list_filter(regexp_split_to_array(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM documents
 ), b AS (
   SELECT item_id,
     list_filter(regexp_split_to_array(
       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark
 ), g AS (
   SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win

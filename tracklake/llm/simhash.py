@@ -99,7 +99,7 @@ def print_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _segment_errors(a: Column, b: Column) -> list[Column]:
     x = a.bitwiseXOR(b)
-    return [F.bit_count(x.bitwiseAND(F.lit(((1 << n) - 1) << at))) for at, n in SEGMENTS]
+    return [F.bit_count(F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << n) - 1).cast("bigint"))) for at, n in SEGMENTS]
 
 
 def _own_rule(a: Column, b: Column) -> Column:
