@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import decontaminate, html_text, packing, quality, simhash, urlfilter
+from tracklake.llm import decontaminate, html_text, packing, privacy, quality, simhash, urlfilter
 from tracklake.llm.common import read
 
 SITE_RULES = (
@@ -57,6 +57,17 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def privacy_key(spark: SparkSession) -> bytes:
+    """The secret that surrogates are drawn with; a deployment sets its own."""
+    return spark.conf.get("spark.tracklake.privacy.key", "surrogates").encode()
+
+
+def op7_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for the personal data in it."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return privacy.pseudonymise(docs, privacy_key(spark)).select("doc_id", "text", "n_entities", "entity_spans")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and component of every document."""
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -76,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_url_filter": op4_url_filter,
     "op5_html_text": op5_html_text,
+    "op7_privacy": op7_privacy,
     "op8_simhash": op8_simhash,
     "op10_quality": op10_quality,
 }

@@ -158,10 +158,13 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(total * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp", shingle: int = 3) -> DataFrame:
-    """All columns but the text, with the fingerprint as a long. NULL and empty texts have the fingerprint zero."""
+def fingerprints(
+    docs: DataFrame, text_col: str = "text", fp_col: str = "fp", shingle: int = 3, keep_text: bool = False
+) -> DataFrame:
+    """All columns (without the text unless ``keep_text``) and the fingerprint as a long; zero for NULL and empty texts."""
     text = fresh([*docs.columns, fp_col], "text_now")
-    base = drop_named(docs.withColumn(text, F.col(f"`{text_col}`").cast("string")), (text_col, fp_col))
+    base = docs.withColumn(text, F.col(f"`{text_col}`").cast("string"))
+    base = drop_named(base, (fp_col,) if keep_text else (text_col, fp_col))
     at = base.columns.index(text)
     schema = extended(base.drop(text).schema, f"`{fp_col}` bigint")
 
@@ -174,6 +177,15 @@ def fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp", sh
     return base.mapInArrow(run, schema)
 
 
+def _component_of(prints: DataFrame, fp: str, least: Column, bits: int) -> DataFrame:
+    """``fp`` and the least of its component, as ``component``."""
+    each = prints.groupBy(F.col(fp).alias("fp")).agg(F.min(least).alias("least"))
+    roots = component_roots(links_within(prints, fp, bits), "a", "b")
+    rooted = each.join(roots, F.col("fp") == F.col("node"), "left")
+    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3
 ) -> DataFrame:
@@ -184,12 +196,18 @@ def near_duplicates(
     """
     ids = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     prints = stored(fingerprints(ids, text_col, "fp", shingle), "fingerprints")
-    each = prints.groupBy("fp").agg(F.min(f"`{id_col}`").alias("least"))
-    roots = component_roots(links_within(prints, "fp", bits), "a", "b")
-    rooted = each.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(named, "root").select("fp", "component_id")
+    by_print = _component_of(prints, "fp", F.col(f"`{id_col}`"), bits).withColumnRenamed("component", "component_id")
     out = prints.join(by_print, "fp")
     return out.select(f"`{id_col}`", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3
+) -> DataFrame:
+    """One row of each component: the one with the smallest id (NULL ids last), of equal ones any. Columns as in ``docs``."""
+    row, fp = fresh(docs.columns, "row_now"), fresh(docs.columns, "fp_now")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())  # fixed once it is written
+    prints = stored(fingerprints(numbered, text_col, fp, shingle, keep_text=True), "fingerprinted")
+    ids = prints.select(F.struct(F.col(f"`{id_col}`").isNull(), f"`{id_col}`", row).alias("at"), fp)
+    winners = _component_of(ids, fp, F.col("at"), bits).select(F.col(f"component.{row}").alias(row)).distinct()
+    return prints.join(winners, row, "left_semi").drop(row, fp)
