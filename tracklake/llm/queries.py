@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import decontaminate, html_text, packing, privacy, quality, simhash, urlfilter
+from tracklake.llm import decontaminate, html_text, packing, privacy, quality, simhash, urlfilter, vectors
 from tracklake.llm.common import read
 
 SITE_RULES = (
@@ -43,6 +43,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return vectors.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the site rules, else by the default rules."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -85,6 +90,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
+    "op3_vectors": op3_vectors,
     "op4_url_filter": op4_url_filter,
     "op5_html_text": op5_html_text,
     "op7_privacy": op7_privacy,
