@@ -8,7 +8,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import decontaminate, html_text, packing, privacy, quality, simhash, urlfilter, vectors
+from tracklake.llm import (
+    decontaminate,
+    html_text,
+    packing,
+    privacy,
+    quality,
+    simhash,
+    substrings,
+    suffixes,
+    urlfilter,
+    vectors,
+)
 from tracklake.llm.common import read
 
 SITE_RULES = (
@@ -62,6 +73,12 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 35-word windows that occur more than once."""
+    found = substrings.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def privacy_key(spark: SparkSession) -> bytes:
     """The secret that surrogates are drawn with; a deployment sets its own."""
     return spark.conf.get("spark.tracklake.privacy.key", "surrogates").encode()
@@ -79,6 +96,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 50-byte strings that start in an earlier document."""
+    found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labels outside the held-out fifth."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -93,7 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vectors": op3_vectors,
     "op4_url_filter": op4_url_filter,
     "op5_html_text": op5_html_text,
+    "op6_substrings": op6_substrings,
     "op7_privacy": op7_privacy,
     "op8_simhash": op8_simhash,
+    "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
 }
