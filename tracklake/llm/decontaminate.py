@@ -166,8 +166,9 @@ def decontaminate(
 def remove_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Take the hit words, each with the separators after it, out of the texts of :func:`decontaminate`'s result."""
     text = F.col(f"`{text_col}`")
-    lead = F.regexp_extract(text, f"^{SEPARATORS}", 0)
-    pieces = F.regexp_extract_all(text, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x60\x7B-\x7F]*)"), 1)
+    between = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # A-Z are word characters before lower-casing
+    lead = F.regexp_extract(text, f"^[{between}]+", 0)
+    pieces = F.regexp_extract_all(text, F.lit(f"([^{between}]+[{between}]*)"), 1)
     kept = F.filter(
         pieces, lambda _, i: ~F.exists(F.col("hit_spans"), lambda s: (i + 1 >= s["start"]) & (i + 1 <= s["end"]))
     )

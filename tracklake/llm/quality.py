@@ -83,9 +83,13 @@ class Trees:
 
 def train(
     x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, bins: int = 64, rate: float = 0.15, l2: float = 1.0,
-    least: int = 20,
+    least: int | None = None,
 ) -> Trees:
-    """Boost trees on the log loss. No rows: every score is 0.5; one class only: its (smoothed) share."""
+    """Boost trees on the log loss. No rows: every score is 0.5; one class only: its (smoothed) share.
+
+    ``least``: rows in a leaf; by default 20, fewer (4 at least) for less than 3,000 rows.
+    """
+    least = max(4, min(20, len(y) // 150)) if least is None else least
     prior = (y.sum() + 0.5) / (len(y) + 1.0)
     base = float(np.log(prior / (1 - prior)))
     inner, leaves = 2**depth - 1, 2**depth

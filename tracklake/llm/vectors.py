@@ -335,6 +335,7 @@ def audit_recall(
     ).where(usable(F.col("vec")) & F.col("label").isNotNull())
     picked = picked.withColumn("width", F.size("vec"))
     asked = picked.where(F.col("id") % every == 0)
+    keys = ["label", "width", "block", "part"]
     blocks = asked.groupBy("label", "width").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     spread = picked.join(blocks, ["label", "width"]).withColumn(
         "part", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(64)).cast("int")
@@ -342,15 +343,14 @@ def audit_recall(
     each = spread.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     queries = each.where((F.col("id") % every == 0) & (F.pmod(F.xxhash64("id"), "blocks") == F.col("block")))
     queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(63))))
-    keys = ["label", "width", "block", "part"]
-
+    queries = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("id", "vec", *keys)])
     def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"id": [], "links": []}).astype("int64")
-        near = unit_rows(list(left["vec"])) @ unit_rows(list(right["vec"])).T >= least
-        return pd.DataFrame({"id": left["id"].to_numpy(), "links": near.sum(axis=1)})
+        near = unit_rows(list(left["q_vec"])) @ unit_rows(list(right["vec"])).T >= least
+        return pd.DataFrame({"id": left["q_id"].to_numpy(), "links": near.sum(axis=1)})
 
-    true = queries.groupBy(*keys).cogroup(each.groupBy(*keys)).applyInPandas(count, "id bigint, links bigint")
+    true = queries.groupBy(*[f"q_{k}" for k in keys]).cogroup(each.groupBy(*keys)).applyInPandas(count, "id bigint, links bigint")
     true = true.groupBy("id").agg((F.sum("links") - 1).alias("links"))
     both = true.join(result.select(F.col(id_col).alias("id"), F.col("n_links").alias("found")), "id")
     total = both.agg(
