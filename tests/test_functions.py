@@ -127,3 +127,38 @@ def test_repair_text(spark, text, out):
     assert df.select(fn.repair_text(F.col("s"))).first()[0] == out
     if text is not None:  # the JVM shortcut and the Python path agree
         assert _repaired(text) == out
+
+
+def test_repair_needs_python_for_backslashes_only(spark):
+    """Other text takes built-in functions, with the same result as the Python codec chain."""
+    texts = ["plain", '"quoted"', "Beyoncé", "BeyoncÃ©", '"Ã¼ber"', "日本", "\u00c3", "é\u20ac", "", '"', "a\u0080b", "\u00ed\u00a0\u0080"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = df.select("t", fn.repair_text(F.col("t")).alias("r"))
+    assert {r["t"]: r["r"] for r in out.collect()} == {t: _repaired(t) for t in texts}
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """A session started from another folder, with the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})\n"
+        "from pyspark.sql import functions as F\n"
+        "from tracklake.session import get_session\nfrom tracklake.functions import repair_text\n"
+        "spark = get_session('other', 'local[1]', {'spark.ui.enabled': 'false'})\n"
+        "print('GOT', spark.createDataFrame([(r'caf\\303\\251',)], 't string').select(repair_text(F.col('t'))).first()[0])\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYTHONIOENCODING": "utf-8"}
+    ran = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "GOT café" in ran.stdout, ran.stderr[-800:]
+
+
+def test_times_out_of_range_are_null(spark):
+    values = [0, 1704067200123, 99999999999999999, 2**63 - 1, -(2**63), 253402300800000, -62135596800001, None]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    got = [r[0] is not None for r in df.select(F.unix_millis(fn.millis_to_timestamp(F.col("v")))).collect()]
+    assert got == [True, True, False, False, False, False, False, False]

@@ -359,3 +359,66 @@ def test_all_declared_checks_are_listed():
 def test_types_of_raw_tables():
     assert {len(s) for s in RAW.values()} == {19, 23, 16, 6}
     assert all(isinstance(f.dataType, (T.StringType, T.LongType, T.DoubleType, T.BooleanType)) for s in RAW.values() for f in s)
+
+
+def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
+    from tracklake import session
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://cluster:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session(), "x")
+    Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "s3a://shared/tmp"})
+    assert session.scratch_dir(Session(), "x").startswith("s3a://shared/tmp/x-")
+    Session.conf = Conf({"spark.master": "local[4]"})
+    assert session.scratch_dir(Session(), "x")
+
+
+def test_merge_repeats_a_cut_off_step_and_leaves_nothing_behind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    make = lambda *rows: spark.createDataFrame(rows, "k int, v string, d int")
+    merge_by_key(path, make((1, "a", 1), (2, "a", 2)), ["k"], "d")
+    # As a merge leaves it that was cut off after it had removed a partition.
+    make((1, "b", 1)).write.partitionBy("d").parquet(f"{path}__pending")
+    for f in (tmp_path / "t" / "d=1").iterdir():
+        f.unlink()
+    merge_by_key(path, make((3, "c", 2)), ["k"], "d")
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "d").collect()) == [(1, "b", 1), (2, "a", 2), (3, "c", 2)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_high_water_mark_ignores_times_from_the_future(spark):
+    from datetime import datetime
+
+    df = spark.createDataFrame([(datetime(2024, 1, 2),), (datetime(2104, 1, 1),)], "event_datetime timestamp")
+    assert high_water_mark(df, not_after=datetime(2024, 2, 1)) == datetime(2024, 1, 2)
+
+
+def test_users_without_an_id_share_one_version(spark):
+    from datetime import datetime
+
+    at = datetime(2024, 1, 1)
+    users = [(0, f"f{k}", "l", "F", "free", at, at) for k in range(50)] + [(None, "x", "l", "M", "free", at, at), (7, "a", "b", "M", "free", at, at)]
+    df = spark.createDataFrame(users, "user_id long, first_name string, last_name string, gender string, level string, "
+                                      "registration_datetime timestamp, event_datetime timestamp")
+    changes = [(0, datetime(2024, 1, 2, 0, k), "free") for k in range(50)] + [(7, datetime(2024, 1, 3), "free")]
+    status = spark.createDataFrame(changes, "user_id long, event_datetime timestamp, prev_level string")
+    from tracklake.operators import user_versions
+
+    got = user_versions(df, status)
+    assert got.where("user_id = 0").count() == 1 and got.where("user_id = 7").count() == 2 and got.count() == 3
+    single = user_versions(df.where("first_name = 'f1' OR user_id = 7"), status)
+    assert single.where("user_id = 0").count() == 51  # a real user 0
+
+
+def test_values_that_are_not_finite_match_nothing(spark):
+    inf = float("inf")
+    left = spark.createDataFrame([("a", 1.0), ("a", inf), ("a", -inf), ("a", float("nan")), ("a", None), ("a", 1e300)], "k string, v double")
+    right = spark.createDataFrame([("a", 1.0, "one"), ("a", inf, "inf"), ("a", float("nan"), "nan"), ("a", 1e300, "big")], "k string, v double, id string")
+    got = nearest_match(left, right, left_keys=[F.col("k")], right_keys=[F.col("k")], left_value=F.col("v"), right_value=F.col("v"), take="id", tolerance=0.5)
+    assert got.count() == 6 and [r["id"] for r in got.where("id IS NOT NULL").collect()] == ["one"]

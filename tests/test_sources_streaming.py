@@ -9,6 +9,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tracklake.plans.load import load_hour, load_hours, raw_table
 from tracklake.schemas import LOCATIONS_FEED, RAW, SONGS_FEED, TOPICS, WIRE
 from tracklake.settings import IngestSettings
 from tracklake.sinks import append_hour, ensure_table
@@ -25,7 +26,7 @@ from tracklake.sources import (
     seed,
     snake_case_columns,
 )
-from tracklake.streaming import decode_events, decoded_with_context, dedup_stream, rejected, run_topics, start_topic, supervise
+from tracklake.streaming import decode_events, decoded_with_context, dedup_sink, dedup_stream, rejected, run_topics, start_topic, supervise
 
 from .conftest import rows
 
@@ -68,15 +69,16 @@ def test_hour_read_prunes_and_absent_hours_are_empty(spark, tmp_path):
     ).parquet(root)
     hour = hour_of(spark, root, datetime(2024, 1, 2, 5))
     assert rows(hour, "id") == [(29,)] and hour_has_rows(hour)
-    plan = hour._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan
+    assert len(hour.inputFiles()) == 1  # nothing but the hour's own folder is listed
     assert not hour_has_rows(hour_of(spark, root, datetime(2024, 2, 2, 5)))
     assert not hour_has_rows(hour_of(spark, str(tmp_path / "none"), datetime(2024, 1, 1), RAW["user_info"]))
 
 
 def test_append_hour_is_idempotent_on_request(spark, tmp_path):
-    path, slot = str(tmp_path / "raw"), {"d": 1, "h": 2}
+    path, slot = str(tmp_path / "raw"), {"year": 2024, "h": 2}
     df = spark.range(3)
+    with pytest.raises(ValueError, match="year"):
+        append_hour(df, path, {"month": 1, "h": 2})
     append_hour(df, path, slot)
     append_hour(df, path, slot)
     assert spark.read.parquet(path).count() == 3
@@ -114,10 +116,11 @@ def test_decode_and_reject(spark):
     assert tuple(got) == (datetime(2024, 1, 1, 0, 0, 0, 123000), "café", "A", 2024, 0)
     assert decode_events(df, "listen_events", keep_unreadable=True).count() == 5
     letters = rows(rejected(decoded_with_context(df, "listen_events")), "offset", "reason")
-    assert letters == [(2, "no event time"), (3, "unreadable json"), (4, "empty message")]
+    # An event with an unreadable field is stored, and its raw message kept beside it.
+    assert letters == [(1, "unreadable field"), (2, "no event time"), (3, "unreadable json"), (4, "empty message")]
     kept = decode_events(df, "listen_events").where("song = 's'").select("userId", "year").first()
     assert tuple(kept) == (None, 2024)  # a field of the wrong type is NULL, the event stays
-    assert decode_events(df, "listen_events").count() + len(letters) == 5
+    assert decode_events(df, "listen_events").count() + len(letters) - 1 == 5
 
 
 def test_every_topic_decodes(spark):
@@ -186,6 +189,40 @@ def test_watermark_dedup_across_runs(spark, tmp_path):
     assert rows(spark.read.parquet(out).select(F.unix_millis("ts"))) == [(base,), (base + 60_000,), (base + 7_200_000,), (base + 7_200_001,)]
 
 
+def test_dedup_sink_keeps_late_rows_and_stores_repeats_once(spark, tmp_path):
+    folder, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    folder.mkdir()
+
+    def run(name, *stamps):
+        (folder / name).write_text("\n".join(json.dumps({"ts": s, "userId": 1}) for s in stamps) + "\n")
+        events = decode_events(file_stream(spark, str(folder), "user_info"), "user_info").select("ts", "userId")
+        dedup_sink(events, out, checkpoint, ["ts", "userId"], "ts").trigger(availableNow=True).start().awaitTermination()
+
+    base = 1704067200000
+    run("1.txt", base, base, base + 60_000)
+    run("2.txt", base + 60_000, base + 7_200_000)
+    run("3.txt", base + 1, base + 7_200_001, base)  # the first is two hours late
+    found = rows(spark.read.parquet(out).select(F.unix_millis("ts")))
+    assert found == [(base + k,) for k in (0, 1, 60_000, 7_200_000, 7_200_001)]
+    with pytest.raises(ValueError, match="key"):
+        dedup_sink(spark.readStream.format("rate").load(), out, checkpoint, ["value"], "timestamp")
+
+
+def test_the_same_hour_of_two_years_is_two_hours(spark, tmp_path):
+    lake, table = str(tmp_path / "lake"), str(tmp_path / "raw")
+    for year, n in ((2023, 3), (2024, 2)):
+        hours = spark.range(n).selectExpr("id AS ts", "id AS userId", f"{year} AS year", "1 AS month", "2 AS day", "9 AS hour")
+        hours.write.mode("append").partitionBy("year", "month", "day", "hour").parquet(lake)
+    slots = [datetime(2023, 1, 2, 9), datetime(2024, 1, 2, 9)]
+    assert all(load_hour(spark, lake, "user_info", s, table) for s in [*slots, slots[0]])
+    assert not load_hour(spark, lake, "user_info", datetime(2022, 1, 2, 9), table)
+    counted = raw_table(spark, table, "user_info").groupBy("load_year").count()
+    assert rows(counted) == [(2023, 3), (2024, 2)]
+    again = str(tmp_path / "again")
+    assert load_hours(spark, lake, "user_info", [*slots, datetime(2022, 1, 2, 9)], again) == slots
+    assert raw_table(spark, again, "user_info").count() == 5
+
+
 def test_rate_source_decodes(spark):
     stream = decode_events(rate_stream(spark, "user_info", 10), "user_info")
     assert stream.isStreaming and "userId" in stream.columns

@@ -14,6 +14,7 @@ from .times import (
     elapsed,
     hour_bucket,
     millis_to_timestamp,
+    plausible_millis,
     second_boundaries,
     time_bucket,
     time_parts,
@@ -32,6 +33,7 @@ __all__ = [
     "match_artist",
     "match_title",
     "millis_to_timestamp",
+    "plausible_millis",
     "normalize_title",
     "page_category",
     "ratio_or_zero",

@@ -24,10 +24,15 @@ def _repair_batch(texts: pd.Series) -> pd.Series:
 def repair_text(text: Column) -> Column:
     """Undo escapes, re-read the bytes as UTF-8 and drop outer quotes.
 
-    Plain ASCII without a backslash only needs its quotes dropped, which stays
-    in the JVM; only the other texts are handed to the Arrow-batched function.
+    Text without a backslash stays in the JVM: plain ASCII only needs its quotes
+    dropped, and other text within Latin-1 is kept unless its bytes are valid
+    UTF-8. Only text with a backslash is handed to the Arrow-batched function.
     """
-    needs_python = text.rlike(r"[^\x00-\x7F]|\\")
-    return F.when(needs_python, _repair_batch(F.when(needs_python, text))).otherwise(
-        F.btrim(text, F.lit('"'))
+    escaped = text.rlike(r"\\")
+    latin = text.rlike(r"\A[\x00-\xFF]*\z")
+    reread = F.try_validate_utf8(F.encode(F.when(latin, text), "ISO-8859-1").cast("string"))
+    return (
+        F.when(escaped, _repair_batch(F.when(escaped, text)))
+        .when(F.length(text) == F.octet_length(text), F.btrim(text, F.lit('"')))
+        .otherwise(F.coalesce(F.btrim(reread, F.lit('"')), text))
     )

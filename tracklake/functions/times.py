@@ -10,8 +10,18 @@ from pyspark.sql import types as T
 OPEN_END = "9999-01-01 00:00:00"
 
 
+# Epoch milliseconds of the years 1 to 9999, both whole; no other value is a time.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def plausible_millis(millis: Column) -> Column:
+    """False for numbers that are no time of the years 1 to 9999; NULL for NULL."""
+    return millis.between(FIRST_MILLIS, LAST_MILLIS)
+
+
 def millis_to_timestamp(millis: Column) -> Column:
-    return F.timestamp_millis(millis)
+    """The instant, or NULL for a number that is none: one bad value must not stop a job."""
+    return F.timestamp_millis(F.when(plausible_millis(millis), millis))
 
 
 def hour_bucket(instant: Column) -> Column:

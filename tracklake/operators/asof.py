@@ -58,7 +58,7 @@ def asof_join(
     end: str,
     take: list[str],
     keys_from: DataFrame | None = None,
-    max_versions: int = 1000,
+    max_versions: int = 64,
     slot_seconds: int = 1,
 ) -> DataFrame:
     """Columns ``take`` of the latest-starting version valid at each event's time.
@@ -70,8 +70,7 @@ def asof_join(
     one shuffle of the events, in which adaptive execution splits hot keys. A
     key with more would compare too many pairs, so its events and versions are
     joined on (key, time slot) instead; the version open when a slot begins is
-    carried into it. With times in milliseconds no event then meets more than
-    about 1,000 versions either. Whether there are such keys is counted first, from
+    carried into it. With changes at most a few times a second an event then meets few versions. Whether there are such keys is counted first, from
     ``versions`` alone. ``keys_from`` may name a cheaper frame to read the slots
     in use from, with at least the (key, time) pairs of ``events``.
     """

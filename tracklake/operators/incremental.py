@@ -8,7 +8,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
 from .joins import join_null_safe
 
 LATENESS = timedelta(minutes=10)
@@ -19,8 +18,22 @@ def single_value(df: DataFrame, expression: str):
     return df.selectExpr(expression).first()[0]
 
 
-def high_water_mark(target: DataFrame, time: str = "event_datetime", partition: str | None = None):
-    """The newest time in ``target``, or None. With ``partition`` only its newest partition is read."""
+def high_water_mark(
+    target: DataFrame,
+    time: str = "event_datetime",
+    partition: str | None = None,
+    not_after: datetime | None = None,
+):
+    """The newest time in ``target``, or None. With ``partition`` only its newest partition is read.
+
+    Times after ``not_after`` are left out: a producer whose clock is wrong must not move the mark
+    past everything that is still to come.
+    """
+    if not_after is not None:
+        limit = F.lit(not_after).cast("timestamp")
+        target = target.where(F.col(time) <= limit)
+        if partition:
+            target = target.where(F.col(partition) <= F.to_date(limit))
     if partition:
         newest = single_value(target, f"max({partition})")
         if newest is None:
@@ -36,14 +49,20 @@ def _cutoff_millis(mark: datetime, lateness: timedelta) -> Column:
 def since(df: DataFrame, mark: datetime | None, millis: str = "ts", lateness: timedelta = LATENESS) -> DataFrame:
     """Rows newer than ``mark`` less the lateness; all rows on a first run.
 
-    The raw epoch column is compared with a constant, which reaches the scan.
+    Rows without a time (NULL, or the load default 0) cannot be late: they stay, so that an increment and a
+    full build agree on them. The raw epoch column is compared with constants, which reach the scan.
     """
-    return df if mark is None else df.where(F.col(millis) > _cutoff_millis(mark, lateness))
+    if mark is None:
+        return df
+    time = F.col(millis)
+    return df.where((time > _cutoff_millis(mark, lateness)) | time.isNull() | (time == 0))
 
 
 def late_rows(df: DataFrame, mark: datetime | None, millis: str = "ts", lateness: timedelta = LATENESS) -> DataFrame:
     """The rows ``since`` leaves out, so that they can be counted."""
-    return df.limit(0) if mark is None else df.where(F.col(millis) <= _cutoff_millis(mark, lateness))
+    if mark is None:
+        return df.limit(0)
+    return df.where((F.col(millis) <= _cutoff_millis(mark, lateness)) & (F.col(millis) != 0))
 
 
 def sync_schema(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -88,21 +107,32 @@ def merge_by_key(
     rewritten (dynamic overwrite); all others are left alone. Running the same
     updates again gives the same table.
 
-    The updates are computed once, into the shared scratch folder: they are read
-    for the uniqueness check, the partitions touched and the merge itself.
+    The updates are computed once, beside the table: they are read for the
+    uniqueness check, the partitions touched and the merge itself. The merged
+    partitions are written beside the table too before any is replaced. If that
+    last step is cut off, the next merge first repeats it from there, so a table
+    holds the old or the new rows of a partition, never neither for good. Both
+    copies are deleted at the end.
     """
-    from ..sinks import table_exists, write_partitioned
+    from ..sinks import delete_path, path_exists, table_exists, write_partitioned
 
     spark = updates.sparkSession
-    staged = scratch_dir(spark, "updates")
-    updates.write.parquet(staged)
+    staged, pending = f"{path.rstrip('/')}__updates", f"{path.rstrip('/')}__pending"
+    if path_exists(spark, f"{pending}/_SUCCESS"):  # a merge that was cut off while it replaced partitions
+        write_partitioned(spark.read.parquet(pending), path, [partition_by], order_by)
+    delete_path(spark, pending)
+    updates.write.mode("overwrite").parquet(staged)
     updates = spark.read.schema(updates.schema).parquet(staged)
     require_unique(updates, keys)
-    rows = updates
     if table_exists(spark, path):
         target = spark.read.parquet(path)
         # A change of columns rewrites the whole table, so that all files agree.
         if dict(target.dtypes) == dict(updates.dtypes):
             target = _only_partitions_of(target, updates, partition_by)
-        rows = merge_rows(target, updates, keys)
-    write_partitioned(rows, path, [partition_by], order_by)
+        write_partitioned(merge_rows(target, updates, keys), pending, [partition_by], order_by)
+        merged = spark.read.parquet(pending)
+        write_partitioned(merged.select(*updates.columns), path, [partition_by], order_by)
+    else:
+        write_partitioned(updates, path, [partition_by], order_by)
+    delete_path(spark, pending)
+    delete_path(spark, staged)

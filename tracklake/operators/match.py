@@ -20,7 +20,7 @@ def nearest_match(
 ) -> DataFrame:
     """Left join to the nearest ``right`` row: equal keys, values within ``tolerance``.
 
-    NULL values count as 0.0 and NULL keys match nothing. Ties on the distance
+    NULL values count as 0.0; NULL keys and values that are not finite match nothing. Ties on the distance
     go to the smallest ``take``. Adds the column ``take`` (NULL where nothing
     matches) and changes no other column or row.
 
@@ -41,7 +41,8 @@ def nearest_match(
         )
 
     def usable(df: DataFrame) -> DataFrame:
-        return df.dropna(subset=keys)
+        finite = F.abs(F.col("_value") / width) < F.lit(9.0e18)  # also leaves out NaN, whose bucket is none
+        return df.dropna(subset=keys).where(finite & ~F.isnan("_value"))
 
     rows = keyed(left, left_keys, left_value)
     combinations = rows if keys_from is None else keyed(keys_from, left_keys, left_value)

@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections import ChainMap
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import high_water_mark, merge_by_key
+from ..functions import plausible_millis
+from ..operators import high_water_mark, late_rows, merge_by_key
 from ..operators.incremental import LATENESS
+from ..operators.joins import join_null_safe
 from ..sinks import overwrite_table, table_exists, write_clustered, write_partitioned
 from . import staging
 from .models import MODELS, Models
@@ -69,6 +71,9 @@ FACT_EVENTS = {
 
 EVENT_DATE, USER_BUCKET = "event_date", "user_bucket"
 
+# How far past the load's own time an event may be dated before its clock is taken to be wrong.
+CLOCK_ALLOWANCE = timedelta(days=1)
+
 
 class Tables(Mapping):
     """The stored models below ``root``, without their partition helper columns.
@@ -97,6 +102,13 @@ class Tables(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         return self.stored(name).drop(EVENT_DATE, USER_BUCKET)
 
+    def set_aside(self, name: str) -> DataFrame:
+        """``reason`` and ``row`` (JSON) of what the last increment of a staging table left out or doubts."""
+        return self.spark.read.schema("reason STRING, row STRING").parquet(self.path(f"_set_aside/{name}"))
+
+    def set_aside_counts(self, name: str) -> dict[str, int]:
+        return {r["reason"]: r["count"] for r in self.set_aside(name).groupBy("reason").count().collect()}
+
     def __iter__(self):
         return (name for name in MODELS if name in self)
 
@@ -116,9 +128,30 @@ def _placed(df: DataFrame, layout: Layout) -> tuple[DataFrame, str | None]:
     return df, None
 
 
-def _mark(tables: Tables, name: str):
+def _mark(tables: Tables, name: str, not_after: datetime):
     partition = EVENT_DATE if LAYOUTS[name].day_of else None
-    return high_water_mark(tables.stored(name), partition=partition)
+    return high_water_mark(tables.stored(name), partition=partition, not_after=not_after)
+
+
+def _set_aside(tables: Tables, name: str, raw: DataFrame, mark, lateness: timedelta, not_after: datetime) -> None:
+    """Write down what an increment leaves out or doubts.
+
+    ``late``: staged rows older than the lateness allows whose key the table does not hold, so they are lost unless a full
+    refresh follows. ``future``: raw rows dated after ``not_after``; they are stored but do not move the mark.
+    ``untimed``: raw rows without a usable time; they are stored too.
+    """
+    _, build = INCREMENTAL[name]
+    keys = list(LAYOUTS[name].merge_on)
+    stale = build(late_rows(raw, mark, "ts", lateness), None, lateness)
+    lost = join_null_safe(stale, tables[name].select(*keys), keys, "left_anti")
+    limit = F.unix_millis(F.lit(not_after).cast("timestamp"))
+    ts = F.col("ts")
+    reason = F.when(ts.isNull() | (ts == 0) | ~plausible_millis(ts), "untimed").when(ts > limit, "future")
+    doubtful = raw.withColumn("_reason", reason).where("_reason IS NOT NULL")
+    rows = lost.select(F.lit("late").alias("reason"), F.to_json(F.struct("*")).alias("row")).unionByName(
+        doubtful.select(F.col("_reason").alias("reason"), F.to_json(F.struct(*raw.columns)).alias("row"))
+    )
+    overwrite_table(rows, tables.path(f"_set_aside/{name}"))
 
 
 def store(tables: Tables, name: str, df: DataFrame, merge: bool = False) -> None:
@@ -144,6 +177,8 @@ def refresh(
     lateness: timedelta = LATENESS,
     names: Iterable[str] = MODELS,
     facts_from: date | None = None,
+    now: datetime | None = None,
+    clock_allowance: timedelta = CLOCK_ALLOWANCE,
 ) -> Tables:
     """Bring the tables below ``root`` up to date with ``raw``.
 
@@ -152,8 +187,13 @@ def refresh(
 
     The merged facts are rebuilt from all staged events, as songs may appear
     later than their plays. ``facts_from`` limits that to events since a day:
-    earlier days are then neither read nor rewritten.
+    earlier days are then neither read nor rewritten, so their songs and users stay as they were.
+
+    Events dated later than ``now`` (the current time by default) plus ``clock_allowance`` are stored but do not
+    move the mark of the next increment. What an increment leaves out or doubts is written to a side table
+    (``Tables.set_aside``); ``raw`` should then hold what has arrived since, not all history.
     """
+    not_after = (now or datetime.now(timezone.utc)) + clock_allowance
     tables = Tables(spark, root)
     wanted = set(names)
     for name in MODELS:
@@ -162,7 +202,9 @@ def refresh(
         exists = name in tables and not full_refresh
         if exists and name in INCREMENTAL:
             source, build = INCREMENTAL[name]
-            updates = build(raw[source], _mark(tables, name), lateness)
+            mark = _mark(tables, name, not_after)
+            _set_aside(tables, name, raw[source], mark, lateness, not_after)
+            updates = build(raw[source], mark, lateness)
             if name == "stg_users":
                 updates = staging.keep_first_emission(tables[name], updates)
         else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,9 +42,13 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a folder all executors share; only where the setting is
-    missing (tests, a laptop) does this fall back to a local temporary folder.
+    The cluster names a folder all executors share. Only a ``local`` session, where driver and
+    executor are one process, may do without: it gets a temporary folder. Elsewhere a missing
+    setting is an error, as each worker would write to its own disk.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="tracklake-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tracklake-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,7 +1,9 @@
 from .tables import (
     append_hour,
+    delete_path,
     ensure_table,
     overwrite_table,
+    path_exists,
     table_exists,
     with_event_date,
     write_clustered,
@@ -10,6 +12,8 @@ from .tables import (
 
 __all__ = [
     "append_hour",
+    "delete_path",
+    "path_exists",
     "ensure_table",
     "overwrite_table",
     "table_exists",

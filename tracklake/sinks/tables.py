@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,13 +11,32 @@ from pyspark.sql import types as T
 MAX_ROWS_PER_FILE = 20_000_000
 
 
+def _file_system(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system; nothing below the path is listed."""
+    files, there = _file_system(spark, path)
+    return files.exists(there)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library has written; absent is fine."""
+    files, there = _file_system(spark, path)
+    files.delete(there, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    """Whether a table is at ``path``: a writer's mark or a partition folder, found without reading any data."""
+    files, there = _file_system(spark, path)
+    if not files.exists(there):
+        return False
+    return any(
+        name == "_SUCCESS" or "=" in name or name.endswith(".parquet")
+        for name in (status.getPath().getName() for status in files.listStatus(there))
+    )
 
 
 def with_event_date(df: DataFrame, instant: str, name: str = "event_date") -> DataFrame:
@@ -76,7 +94,13 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
 
 
 def append_hour(df: DataFrame, path: str, slot: dict[str, int], idempotent: bool = True) -> None:
-    """Store one loaded hour. Loading an hour again replaces it, or with ``idempotent=False`` appends."""
+    """Store one loaded hour. Loading an hour again replaces it, or with ``idempotent=False`` appends.
+
+    The slot must name the year: without it the same hour of two years would be one partition, and the
+    second load would replace the first.
+    """
+    if not any("year" in name for name in slot):
+        raise ValueError(f"the slot needs a year: {sorted(slot)}")
     tagged = df.withColumns({name: F.lit(value) for name, value in slot.items()})
     if idempotent:
         writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -4,33 +4,31 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def hour_of(
     spark: SparkSession, root: str, slot: datetime, schema: T.StructType | None = None, with_year: bool = True
 ) -> DataFrame:
-    """One hour of an event directory; the filter prunes to its folder.
+    """One hour of an event directory. Only its own folder is listed, however long the lake's history is.
 
     ``with_year=False`` reads the older layout that has no year folder. An absent
-    directory gives no rows if ``schema`` says what they would look like.
+    folder gives no rows if ``schema`` says what they would look like.
     """
     parts = {"month": slot.month, "day": slot.day, "hour": slot.hour}
     if with_year:
         parts = {"year": slot.year, **parts}
-    reader = spark.read.option("basePath", root)
+    folder = "/".join([root.rstrip("/"), *(f"{k}={v}" for k, v in parts.items())])
     try:
-        df = reader.parquet(root)
+        return spark.read.option("basePath", root).parquet(folder)
     except AnalysisException as error:
-        if schema is None or error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schema)
-    return df.where(reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in parts.items()]))
+        # Without a schema the directory itself has to say what rows would look like.
+        return spark.read.parquet(root).limit(0) if schema is None else spark.createDataFrame([], schema)
 
 
 def hour_has_rows(hour: DataFrame) -> bool:

@@ -1,12 +1,13 @@
 from .archive import archive_frame, start_archive
 from .decode import decode_events, decoded_with_context, readable, rejected
-from .dedup import dedup_stream
+from .dedup import dedup_sink, dedup_stream
 from .run import file_sink, run_topics, start_topic, supervise
 
 __all__ = [
     "archive_frame",
     "decode_events",
     "decoded_with_context",
+    "dedup_sink",
     "dedup_stream",
     "file_sink",
     "readable",

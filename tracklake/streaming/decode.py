@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import millis_to_timestamp, repair_text, time_parts
+from ..functions import millis_to_timestamp, plausible_millis, repair_text, time_parts
 from ..schemas import REPAIRED_TEXT, WIRE
 
 CORRUPT = "_corrupt_record"
+UNREADABLE_FIELD = "unreadable field"
 
 
 def decoded_with_context(messages: DataFrame, topic: str) -> DataFrame:
@@ -22,21 +23,26 @@ def decoded_with_context(messages: DataFrame, topic: str) -> DataFrame:
 
 
 def _reason() -> Column:
-    """Why a message cannot be stored; NULL for a good one.
+    """What is wrong with a message; NULL for a good one.
 
     Only the event time is needed to store a message. A field of the wrong type
-    is NULL in an event that is otherwise kept.
+    is NULL in an event that is kept all the same; its raw message becomes a
+    dead letter too (``UNREADABLE_FIELD``), so that nothing sent is lost.
     """
     no_time = F.col("data").isNull() | F.col("data.ts").isNull()
     return (
         F.when(F.col("value").isNull(), "empty message")
         .when(no_time & F.col(f"data.{CORRUPT}").isNotNull(), "unreadable json")
         .when(no_time, "no event time")
+        .when(~plausible_millis(F.col("data.ts")), "event time out of range")
+        .when(F.col(f"data.{CORRUPT}").isNotNull(), UNREADABLE_FIELD)
     )
 
 
 def readable(decoded: DataFrame) -> DataFrame:
-    return decoded.where(_reason().isNull())
+    """Messages that are stored as events."""
+    reason = _reason()
+    return decoded.where(reason.isNull() | (reason == UNREADABLE_FIELD))
 
 
 def rejected(decoded: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..operators.quality import Check
 from ..plans.checks import CHECKS
+from ..schemas import WIRE
 from .models_sql import LISTEN, MODELS_SQL, category, clean_title, exact_sum, key, rounded
 from .queries import CUT_MILLIS, MODEL_QUERIES
 from .shapes_sql import RAW_SQL
@@ -44,6 +45,66 @@ ABSENT = {"auth": "'NA'", "level": "'NA'", "itemInSession": "CAST(0 AS BIGINT)",
 VISIT = "ts sessionId auth level itemInSession city zip state userAgent lon lat userId lastName firstName gender registration"
 
 
+HELD_BACK = "ts < 1705000000000 AND itemInSession % 5 = 0"
+FIRST_STEP = f"(SELECT * FROM raw_listen WHERE ts < {CUT_MILLIS} AND NOT ({HELD_BACK}))"
+
+
+def staged_listens(source: str) -> str:
+    return MODELS_SQL["stg_listen_events"].replace("raw_listen", source)
+
+
+def late_rows_sql() -> str:
+    """Staged rows behind the mark whose key the first step has not stored."""
+    late = f"(SELECT * FROM raw_listen WHERE ts <= (SELECT max(ts) FROM {FIRST_STEP}) - 600000)"
+    same = " AND ".join(
+        f"f.{c} IS NOT DISTINCT FROM l.{c}"
+        for c in ("event_datetime", "user_id", "postal_code", "city", "state", "song", "artist", "duration")
+    )
+    return over_models(f"""
+        SELECT 'late' AS reason, event_datetime, user_id, song, artist FROM ({staged_listens(late)}) l
+        WHERE NOT EXISTS (SELECT 1 FROM ({staged_listens(FIRST_STEP)}) f WHERE {same})""")
+
+
+def future_event_sql() -> str:
+    ahead = f"""(SELECT * REPLACE (ts + CAST(80 AS BIGINT) * 365 * 86400000 AS ts) FROM raw_listen
+                 WHERE ts < {CUT_MILLIS} AND userId % 50 = 0)"""
+    return over_models(f"""
+        SELECT event_datetime, user_id, song, 'stored' AS part
+        FROM ({staged_listens(f"(SELECT * FROM raw_listen UNION ALL SELECT * FROM {ahead})")})
+        UNION ALL SELECT epoch_ms(ts), userId, song, 'future' FROM {ahead}""")
+
+
+def unknown_users_sql() -> str:
+    return over_models("""
+        SELECT * EXCLUDE (pk_user) FROM dim_users WHERE user_id % 5 <> 0
+        UNION ALL BY NAME
+        SELECT CAST(0 AS BIGINT) AS user_id, 'NA' AS first_name, 'NA' AS last_name, 'NA' AS gender, 'free' AS level,
+               min(registration_datetime) AS registration_datetime, min(registration_datetime) AS row_effective_datetime,
+               TIMESTAMP '9999-01-01 00:00:00' AS row_expiry_datetime
+        FROM stg_users WHERE user_id % 5 = 0 HAVING count(*) > 0""")
+
+
+# The raw table behind each topic, and the fields it names or fills in another way.
+WIRE_SOURCE = {
+    "page_view_events": ("raw_page_view", {"method": "'PUT'", "status": "200", "artist": "NULL", "song": "NULL", "duration": "NULL"}),
+    "auth_events": ("raw_auth", {}),
+    "session_start_end_events": ("raw_session", {}),
+    "status_change_events": ("raw_status", {"level": "old_level"}),
+    "user_info": ("raw_user", {"level": "NULL"}),
+}
+SQL_TYPE = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def topic_sql(topic: str) -> str:
+    source, given = WIRE_SOURCE[topic]
+    fields = [
+        "epoch_ms(ts) AS ts" if f.name == "ts"
+        else f"CAST({given.get(f.name, f.name)} AS {SQL_TYPE[f.dataType.simpleString()]}) AS {f.name}"
+        for f in WIRE[topic].fields
+    ]
+    return over_models(f"SELECT {', '.join(fields)} FROM {source}")
+
+
 def check_sql(c: Check) -> str:
     """Failures of one declared check."""
     cols = ", ".join(c.columns)
@@ -250,18 +311,36 @@ ORACLE.update(
             FROM stg_listen_events"""),
         "merge_users": over_models("SELECT * FROM stg_users"),
         "schema_sync": """
-            SELECT s_suppkey, CASE WHEN s_suppkey < 10 THEN upper(s_name) ELSE s_name END AS s_name,
-                   CASE WHEN s_suppkey < 10 THEN s_nationkey END AS nation
+            SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN upper(s_name) ELSE s_name END AS s_name,
+                   CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey END AS nation
             FROM supplier""",
         "raw_hour_append": over_models("""
             SELECT ts, userId, old_level AS level, CAST(0 AS BIGINT) AS sessionId,
-                   CAST(hour(epoch_ms(ts)) AS INTEGER) AS load_hour
-            FROM raw_status
-            WHERE CAST(epoch_ms(ts) AS DATE) = DATE '2024-01-02' AND hour(epoch_ms(ts)) BETWEEN 9 AND 11"""),
+                   CAST(year(epoch_ms(ts)) AS INTEGER) AS load_year, CAST(month(epoch_ms(ts)) AS INTEGER) AS load_month,
+                   CAST(day(epoch_ms(ts)) AS INTEGER) AS load_day, CAST(hour(epoch_ms(ts)) AS INTEGER) AS load_hour
+            FROM raw_status"""),
         "partitioned_clustered_write": over_models("""
-            SELECT 'day' AS part, event_datetime, user_id, song FROM stg_listen_events
-            WHERE CAST(event_datetime AS DATE) = DATE '2024-01-05'
-            UNION ALL SELECT 'users', event_datetime, user_id, song FROM stg_listen_events WHERE user_id < 20"""),
+            SELECT part, CAST(event_datetime AS DATE) AS event_date, event_datetime, user_id, song, artist, duration
+            FROM stg_listen_events, (VALUES ('day'), ('users')) p(part)"""),
+        "refresh_users": over_models("SELECT * FROM stg_users"),
+        "refresh_fact_listen": over_models("SELECT * FROM fact_listen_events"),
+        "refresh_fact_status": over_models("SELECT * FROM fact_status_change_events"),
+        "refresh_reports_late_rows": late_rows_sql(),
+        "refresh_future_event": future_event_sql(),
+        "dim_users_unknown": unknown_users_sql(),
+        "tolerance_match_not_finite": over_models(
+            "SELECT l.event_datetime, l.user_id, l.song, l.artist, "
+            "l.user_id % 10 NOT IN (3, 5, 7) AND m.pk_song IS NOT NULL AS matched "
+            "FROM stg_listen_events l JOIN listen_songs m ON "
+            + " AND ".join(f"l.{c.strip()} IS NOT DISTINCT FROM m.{c.strip()}" for c in LISTEN.split(","))
+        ),
+        "decode_bad_times": over_models("""
+            SELECT '{"ts":' || CASE event_id % 4 WHEN 0 THEN '99999999999999999' WHEN 1 THEN '9223372036854775807'
+                                    WHEN 2 THEN '253402300800000' ELSE '-62135596800001' END
+                   || ',"userId":' || event_id || '}' AS value, 'event time out of range' AS reason FROM ev
+            UNION ALL SELECT '{"ts":' || ms || ',"userId":"x' || event_id || '"}', 'unreadable field' FROM ev
+            UNION ALL SELECT CAST(ms AS VARCHAR), 'stored' FROM ev"""),
+        **{f"stream_decode_{topic}": topic_sql(topic) for topic in WIRE_SOURCE},
         "songs_feed": over_models("SELECT track_id, artist, title, duration, genre FROM raw_songs"),
         "locations_feed": over_models("""
             SELECT 'US' AS country_code, CAST(zip AS VARCHAR) AS postal_code, city, state, state AS state_code,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,25 +34,24 @@ from ..operators.quality import Check
 from ..plans import core, marts, staging
 from ..plans.checks import CHECKS
 from ..plans.models import MODELS, Models
-from ..plans.refresh import refresh
+from ..plans.load import load_hour, load_hours, raw_table
+from ..plans.refresh import Tables, refresh
 from ..schemas import LOCATIONS_FEED, RAW, SONGS_FEED, WIRE
 from ..session import scratch_dir
 from ..settings import IngestSettings
-from ..sinks import append_hour, ensure_table, with_event_date, write_clustered, write_partitioned
+from ..sinks import with_event_date, write_clustered, write_partitioned
 from ..sources import (
     csv_with_header,
     delimited_feed,
     drop_view,
     file_stream,
-    hour_has_rows,
-    hour_of,
     json_archive,
     parquet_glob,
     register_view,
     seed,
     snake_case_columns,
 )
-from ..streaming import decode_events, decoded_with_context, dedup_stream, rejected, start_archive, start_topic
+from ..streaming import decode_events, decoded_with_context, dedup_sink, rejected, start_archive, start_topic
 from .shapes import Shapes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,10 +511,10 @@ def merge_users(s: Shapes) -> DataFrame:
 
 @query
 def schema_sync(s: Shapes) -> DataFrame:
-    """Old suppliers under a new layout: one column added, one removed, keys 0 to 9 updated."""
+    """Old suppliers under a new layout: one column added, one removed, every third key updated."""
     suppliers = s.table("supplier")
     old = suppliers.select("s_suppkey", "s_name", "s_acctbal")
-    new = suppliers.where("s_suppkey < 10").select(
+    new = suppliers.where("s_suppkey % 3 = 0").select(
         "s_suppkey", F.upper("s_name").alias("s_name"), F.col("s_nationkey").alias("nation")
     )
     return merge_rows(sync_schema(old, new), new, ["s_suppkey"])
@@ -523,33 +522,117 @@ def schema_sync(s: Shapes) -> DataFrame:
 
 @query
 def raw_hour_append(s: Shapes) -> DataFrame:
-    """Three hours of status changes through the lake layout into the raw table, one of them twice."""
-    spark, root, table = s.spark, scratch_dir(s.spark, "lake"), scratch_dir(s.spark, "raw")
+    """Every hour of status changes through the lake layout into the raw table, the first one twice."""
+    spark, root, table, event = s.spark, scratch_dir(s.spark, "lake"), scratch_dir(s.spark, "raw"), "status_change_events"
     lake = fn.time_parts(s["status_change_events"].withColumn("ts", F.timestamp_millis("ts")), "ts")
     write_partitioned(lake, root, ["year", "month", "day", "hour"])
-    slot_type = T.StructType([T.StructField(c, T.IntegerType()) for c in ("load_month", "load_day", "load_hour")])
-    stored = T.StructType([*RAW["status_change_events"].fields, *slot_type.fields])
-    ensure_table(spark, table, stored, slot_type.names)
-    for hour in (9, 10, 11, 10):
-        rows = hour_of(spark, root, datetime(2024, 1, 2, hour))
-        if hour_has_rows(rows):
-            loaded = load_tolerant(rows, RAW["status_change_events"])
-            append_hour(loaded, table, {"load_month": 1, "load_day": 2, "load_hour": hour})
-    return spark.read.schema(stored).parquet(table).select("ts", "userId", "level", "sessionId", "load_hour")
+    hours = [r[0] for r in lake.select(F.date_trunc("HOUR", "ts").cast("timestamp_ntz")).distinct().collect()]
+    load_hours(spark, root, event, hours, table)
+    load_hour(spark, root, event, min(hours), table)
+    loaded = raw_table(spark, table, event)
+    return loaded.select("ts", "userId", "level", "sessionId", "load_year", "load_month", "load_day", "load_hour")
 
 
 @query
 def partitioned_clustered_write(s: Shapes) -> DataFrame:
-    """A day-partitioned and a clustered table, read back with a filter on each."""
+    """A day-partitioned and a clustered table, read back in full."""
     spark, by_day, by_user = s.spark, scratch_dir(s.spark, "days"), scratch_dir(s.spark, "users")
     listens = with_event_date(models(s)["stg_listen_events"], "event_datetime")
     write_partitioned(listens, by_day, ["event_date"], ["user_id"])
     write_clustered(listens, by_user, ["user_id", "event_datetime"])
-    day = spark.read.parquet(by_day).where(F.col("event_date") == "2024-01-05")
-    users = spark.read.parquet(by_user).where(F.col("user_id") < 20)
-    return day.select(F.lit("day").alias("part"), "event_datetime", "user_id", "song").unionByName(
-        users.select(F.lit("users").alias("part"), "event_datetime", "user_id", "song")
-    )
+    columns = ["event_date", "event_datetime", "user_id", "song", "artist", "duration"]
+    days, users = (spark.read.parquet(p).select(*columns) for p in (by_day, by_user))
+    return days.withColumn("part", F.lit("day")).unionByName(users.withColumn("part", F.lit("users")))
+
+
+# --- increments of stored tables ------------------------------------------
+
+
+class Arrived(dict):
+    """The raw tables with some of their rows held back."""
+
+    def __init__(self, s: Shapes, keep: Column) -> None:
+        events = ("listen_events", "page_view_events", "status_change_events", "user_info")
+        super().__init__({n: s[n].where(keep) for n in events} | {n: s[n] for n in ("songs", "locations")})
+
+
+def in_two_steps(s: Shapes, *names: str) -> Tables:
+    """Tables built from the first half, then brought up to date with all events."""
+    root = scratch_dir(s.spark, "steps")
+    refresh(s.spark, root, Arrived(s, F.col("ts") < CUT_MILLIS), names=names)
+    return refresh(s.spark, root, s, names=names)
+
+
+STAGED = ("stg_listen_events", "stg_status_change_events", "stg_users", "dim_users")
+
+
+@query
+def refresh_users(s: Shapes) -> DataFrame:
+    return in_two_steps(s, "stg_users")["stg_users"]
+
+
+@query
+def refresh_fact_listen(s: Shapes) -> DataFrame:
+    return in_two_steps(s, *STAGED, "fact_listen_events")["fact_listen_events"]
+
+
+@query
+def refresh_fact_status(s: Shapes) -> DataFrame:
+    return in_two_steps(s, *STAGED[1:], "fact_status_change_events")["fact_status_change_events"]
+
+
+HELD_BACK = "ts < 1705000000000 AND itemInSession % 5 = 0"
+
+
+@query
+def refresh_reports_late_rows(s: Shapes) -> DataFrame:
+    """Listens that arrive days late: each is in the side table, by its key."""
+    root, names = scratch_dir(s.spark, "late"), ("stg_listen_events",)
+    listens = s["listen_events"]
+    refresh(s.spark, root, {"listen_events": listens.where(f"ts < {CUT_MILLIS} AND NOT ({HELD_BACK})")}, names=names)
+    tables = refresh(s.spark, root, {"listen_events": listens}, names=names)
+    row = F.from_json("row", tables["stg_listen_events"].schema)
+    lost = tables.set_aside("stg_listen_events").select("reason", row.alias("r"))
+    return lost.select("reason", "r.event_datetime", "r.user_id", "r.song", "r.artist")
+
+
+@query
+def refresh_future_event(s: Shapes) -> DataFrame:
+    """Listens dated 80 years ahead are stored, reported, and do not end the increments."""
+    root, names, ahead = scratch_dir(s.spark, "future"), ("stg_listen_events",), 80 * 365 * 86_400_000
+    listens = s["listen_events"]
+    early = listens.where(f"ts < {CUT_MILLIS}")
+    wrong = early.where("userId % 50 = 0").withColumn("ts", F.col("ts") + F.lit(ahead))
+    refresh(s.spark, root, {"listen_events": early.unionByName(wrong)}, names=names)
+    tables = refresh(s.spark, root, {"listen_events": listens.unionByName(wrong)}, names=names)
+    stored = tables["stg_listen_events"].select("event_datetime", "user_id", "song", F.lit("stored").alias("part"))
+    row = F.from_json("row", "ts BIGINT, userId BIGINT, song STRING")
+    told = tables.set_aside("stg_listen_events").where("reason = 'future'").select(row.alias("r"))
+    return stored.unionByName(
+        told.select(fn.millis_to_timestamp(F.col("r.ts")).alias("event_datetime"), F.col("r.userId").alias("user_id"),
+                    F.col("r.song").alias("song"), F.lit("future").alias("part"))
+    )
+
+
+@query
+def dim_users_unknown(s: Shapes) -> DataFrame:
+    """Every fifth person and their changes without an id: one version for them all."""
+    m = models(s)
+    nobody = F.when(F.col("user_id") % 5 == 0, F.lit(0)).otherwise(F.col("user_id")).cast("bigint")
+    users = m["stg_users"].withColumn("user_id", nobody)
+    return core.dim_users(users, m["stg_status_change_events"].withColumn("user_id", nobody)).drop("pk_user")
+
+
+@query
+def tolerance_match_not_finite(s: Shapes) -> DataFrame:
+    """Durations that are infinite or no number match nothing; all others as before."""
+    listens = models(s)["stg_listen_events"].select("event_datetime", "user_id", "song", "artist", "duration")
+    odd = F.col("user_id") % 10
+    strange = F.when(odd == 3, float("inf")).when(odd == 5, float("nan")).when(odd == 7, float("-inf"))
+    songs = models(s)["dim_songs"]
+    songs = songs.unionByName(songs.withColumn("duration", F.lit(float("inf"))))
+    matched = core.match_songs(listens.withColumn("duration", F.coalesce(strange, "duration")), songs)
+    return matched.select("event_datetime", "user_id", "song", "artist", F.col("pk_song").isNotNull().alias("matched"))
 
 
 # --- sources --------------------------------------------------------------
@@ -748,13 +831,58 @@ def stream_archive(s: Shapes) -> DataFrame:
     return rows.groupBy("date").agg(F.count(F.lit(1)).alias("messages"), F.count("ts").alias("events"))
 
 
+@query
+def decode_bad_times(s: Shapes) -> DataFrame:
+    """Messages whose time is no time: dead letters, while the decoder goes on."""
+    bad = F.element_at(
+        F.array(*[F.lit(v) for v in ("99999999999999999", "9223372036854775807", "253402300800000", "-62135596800001")]),
+        (F.col("event_id") % 4 + 1).cast("int"),
+    )
+    value = F.concat(F.lit('{"ts":'), bad, F.lit(',"userId":'), "event_id", F.lit("}"))
+    fields = F.concat(F.lit('{"ts":'), F.col("ms"), F.lit(',"userId":"x'), "event_id", F.lit('"}'))
+    sent = s["ev"].select(F.explode(F.array(value, fields)).alias("value"))
+    received = sent.select(
+        F.col("value").cast("binary").alias("value"), F.lit("user_info").alias("topic"), F.lit(0).alias("partition"),
+        F.lit(0).cast("bigint").alias("offset"),
+    )
+    letters = rejected(decoded_with_context(received, "user_info")).select("value", "reason")
+    kept = decode_events(received, "user_info").select(F.unix_millis("ts").cast("string").alias("value"), F.lit("stored").alias("reason"))
+    return letters.unionByName(kept)
+
+
 @query
 def stream_dedup_watermark(s: Shapes) -> DataFrame:
-    """Repeats dropped in the stream."""
-    root = message_files(s)
+    """Repeats dropped in the stream, over several batches that each span the month."""
+    root = scratch_dir(s.spark, "messages")
+    messages(s).repartition(4, F.xxhash64("value", F.monotonically_increasing_id())).write.text(f"{root}/listen_events")
     path, checkpoint = scratch_dir(s.spark, "dedup"), scratch_dir(s.spark, "dedup-state")
-    events = decode_events(file_stream(s.spark, f"{root}/listen_events", "listen_events"), "listen_events")
+    events = decode_events(file_stream(s.spark, f"{root}/listen_events", "listen_events", 1), "listen_events")
     keys = ["ts", "userId", "song", "artist"]
-    writer = dedup_stream(events.select(*keys), keys, "ts").writeStream.format("parquet").option("path", path)
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return s.spark.read.parquet(path)
+    dedup_sink(events.select(*keys), path, checkpoint, keys, "ts").trigger(availableNow=True).start().awaitTermination()
+    return s.spark.read.parquet(path).select(*keys)
+
+
+def topic_query(topic: str) -> None:
+    def run(s: Shapes) -> DataFrame:
+        """Every field of a topic through the ingest, in several batches."""
+        root = scratch_dir(s.spark, "messages")
+        names = WIRE[topic].names
+        sent = s[topic].select(F.to_json(F.struct(*names)).alias("value")) if set(names) <= set(s[topic].columns) else (
+            s[topic].select(F.to_json(F.struct(*[n for n in names if n in s[topic].columns])).alias("value"))
+        )
+        sent.repartition(3).write.text(f"{root}/{topic}")
+        settings = IngestSettings(
+            lake_root=scratch_dir(s.spark, "ingest"), checkpoint_root=scratch_dir(s.spark, "ingest-state"), source="files",
+            files_root=root, run_once=True, max_files_per_trigger=1,
+        )
+        for started in start_topic(s.spark, settings, topic):
+            started.awaitTermination()
+        return s.spark.read.parquet(settings.sink_path(topic)).select(*names)
+
+    run.__name__ = f"stream_decode_{topic}"
+    query(run)
+
+
+for _topic in WIRE:
+    if _topic != "listen_events":
+        topic_query(_topic)
