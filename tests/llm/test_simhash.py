@@ -10,17 +10,27 @@ from tracklake.llm.queries import QUERIES
 from .helpers import no_documents, odd_documents
 
 
-def fingerprint(text):
+def mixed(h, k):
+    if not k:
+        return h
+    h = (h + k * 0x9E3779B97F4A7C15) % 2**64
+    h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    h = (h ^ h >> 27) * 0x94D049BB133111EB % 2**64
+    return h ^ h >> 31
+
+
+def fingerprint(text, number=0):
     words = (text or "").encode().lower().split()
     if not words:
         return 0
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
-    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    hashes = [mixed(xxhash.xxh64_intdigest(s, 42), number) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(rows):
-    prints = np.array([fingerprint(t) for _, t in rows], dtype=np.uint64)
+def components(rows, count=1):
+    every = [np.array([fingerprint(t, k) for _, t in rows], dtype=np.uint64) for k in range(count)]
+    prints = every[0]
     parent = list(range(len(rows)))
 
     def find(k):
@@ -29,8 +39,9 @@ def components(rows):
         return k
 
     for k in range(len(rows)):
-        for j in np.flatnonzero(np.bitwise_count(prints[:k] ^ prints[k]) <= 3):
-            parent[find(k)] = find(int(j))
+        for p in every:
+            for j in np.flatnonzero(np.bitwise_count(p[:k] ^ p[k]) <= 3):
+                parent[find(k)] = find(int(j))
     least = {}
     for k, (doc, _) in enumerate(rows):
         if doc is not None:
@@ -75,6 +86,17 @@ def test_edge_rows_and_one_of_each_group(spark):
     assert sorted((tuple(r) for r in found.collect()), key=repr) == components(rows)
     kept = simhash.deduplicate(docs)
     assert kept.columns == docs.columns
-    groups = {r[2] if r[2] is not None else r[1] for r in components(rows)}
+    groups = {r[2] if r[2] is not None else r[1] for r in components(rows, 4)}
     assert kept.count() == len(groups)
     assert simhash.near_duplicates(no_documents(spark)).count() == simhash.deduplicate(no_documents(spark)).count() == 0
+
+
+def test_one_of_each_group_over_several_fingerprints(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    # Copies of a long text that differ in one word each.
+    words = " ".join(t or "" for _, t in rows[:3]).split()[:300]
+    rows += [(10_000 + k, " ".join([*words[: 20 * k], f"other{k}", *words[20 * k + 1 :]])) for k in range(12)]
+    kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in components(rows, 4)}
+    assert kept.where("doc_id >= 10000").count() <= 2

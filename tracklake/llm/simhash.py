@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm.common import drop_named, extended, fresh, stored
+from tracklake.llm.common import drop_named, extended, fresh, stored, text_key
 from tracklake.llm.components import component_roots
 
 GENERATOR = 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
@@ -114,16 +114,24 @@ def _own_rule(a: Column, b: Column) -> Column:
 
 def links_within(prints: DataFrame, column: str, bits: int = 3) -> DataFrame:
     """Pairs ``a`` < ``b`` of distinct fingerprints (longs) that differ in at most ``bits`` (three at most) bits, each once."""
+    numbered = prints.select(F.lit(0).alias("which"), F.col(column).alias("fp"))
+    return numbered_links(numbered, bits).select("a", "b")
+
+
+def numbered_links(prints: DataFrame, bits: int = 3) -> DataFrame:
+    """As :func:`links_within` for rows (``which``, ``fp``): fingerprints are compared under the same number only."""
     if bits > 3:
         raise ValueError("the keys find pairs of at most three differing bits")
-    distinct = prints.select(F.col(column).alias("fp")).dropna().distinct()
+    distinct = prints.dropna().distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False)
+            number = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            fp = batch.column(1).to_numpy(zero_copy_only=False)
             for at in range(0, len(fp), 2048):
                 some = fp[at : at + 2048]
                 row, key, looks = print_keys(some)
+                key = key | number[at : at + 2048][row] << 40
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), pa.array(some[row]), pa.array(looks)], names=["key", "fp", "looks"]
                 )
@@ -133,17 +141,22 @@ def links_within(prints: DataFrame, column: str, bits: int = 3) -> DataFrame:
     right = keyed.where("NOT looks").select("key", F.col("fp").alias("b"))
     a, b = F.col("a"), F.col("b")
     near = (a < b) & (F.bit_count(a.bitwiseXOR(b)) <= bits)
-    rule = F.shiftright("key", 36).cast("int") == _own_rule(a, b)
-    return left.join(right, "key").where(near & rule).select("a", "b")
+    rule = F.shiftright("key", 36).bitwiseAND(F.lit(7).cast("bigint")).cast("int") == _own_rule(a, b)
+    found = left.join(right, "key").where(near & rule)
+    return found.select(F.shiftright("key", 40).cast("int").alias("which"), "a", "b")
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """Majority of the XXH64 (seed 42) bits of all word shingles, as a signed long; zero without words."""
+def fingerprint(text: str | None, shingle: int, count: int = 1) -> list[int]:
+    """``count`` fingerprints as signed longs, all zero without words.
+
+    The first is the majority of the XXH64 (seed 42) bits of all word shingles; each further one is that of the same hashes
+    mixed anew.
+    """
     import xxhash
 
     words = (text or "").encode("utf-8").lower().split()
     if not words:
-        return 0
+        return [0] * count
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = (ends - np.fromiter((len(w) + 1 for w in words), np.int64, len(words))).tolist()
@@ -151,41 +164,41 @@ def fingerprint(text: str | None, shingle: int) -> int:
     ends = (ends[size - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[s:e], 42) for s, e in zip(starts, ends, strict=False)], dtype=np.uint64)
-    total = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
-        total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(total * 2 > len(hashes), bitorder="little").view("<i8")[0])
+    out = []
+    for k in range(count):
+        total = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            part = hashes[at : at + (1 << 16)]
+            if k:
+                with np.errstate(over="ignore"):
+                    part = part + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+                    part = (part ^ (part >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                    part = (part ^ (part >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                    part = part ^ (part >> np.uint64(31))
+            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            total += bits.sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(total * 2 > len(hashes), bitorder="little").view("<i8")[0]))
+    return out
 
 
 def fingerprints(
-    docs: DataFrame, text_col: str = "text", fp_col: str = "fp", shingle: int = 3, keep_text: bool = False
+    docs: DataFrame, text_col: str = "text", name: str = "prints", shingle: int = 3, count: int = 1
 ) -> DataFrame:
-    """All columns (without the text unless ``keep_text``) and the fingerprint as a long; zero for NULL and empty texts."""
-    text = fresh([*docs.columns, fp_col], "text_now")
-    base = docs.withColumn(text, F.col(f"`{text_col}`").cast("string"))
-    base = drop_named(base, (fp_col,) if keep_text else (text_col, fp_col))
+    """All columns but the text, and ``count`` fingerprints as an array of longs."""
+    text = fresh([*docs.columns, name], "text_now")
+    base = drop_named(docs.withColumn(text, F.col(f"`{text_col}`").cast("string")), (text_col, name))
     at = base.columns.index(text)
-    schema = extended(base.drop(text).schema, f"`{fp_col}` bigint")
+    schema = extended(base.drop(text).schema, f"`{name}` array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t.as_py(), shingle) for t in batch.column(at)]
+            prints = [fingerprint(t.as_py(), shingle, count) for t in batch.column(at)]
             rest = [c for k, c in enumerate(batch.columns) if k != at]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(prints, pa.int64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(prints, pa.list_(pa.int64()))], names=schema.names)
 
     return base.mapInArrow(run, schema)
 
 
-def _component_of(prints: DataFrame, fp: str, least: Column, bits: int) -> DataFrame:
-    """``fp`` and the least of its component, as ``component``."""
-    each = prints.groupBy(F.col(fp).alias("fp")).agg(F.min(least).alias("least"))
-    roots = component_roots(links_within(prints, fp, bits), "a", "b")
-    rooted = each.join(roots, F.col("fp") == F.col("node"), "left")
-    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    return rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
-
-
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3
 ) -> DataFrame:
@@ -194,20 +207,52 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable over links, the row's own included. NULL ids take part in links but
     are never the smallest; a component of NULL ids alone has NULL. Repeated rows stay repeated. Other columns are not read.
     """
-    ids = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    prints = stored(fingerprints(ids, text_col, "fp", shingle), "fingerprints")
-    by_print = _component_of(prints, "fp", F.col(f"`{id_col}`"), bits).withColumnRenamed("component", "component_id")
-    out = prints.join(by_print, "fp")
-    return out.select(f"`{id_col}`", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    ids = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    prints = stored(fingerprints(ids, "text", "prints", shingle).select("id", F.col("prints")[0].alias("fp")), "fingerprints")
+    each = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = component_roots(links_within(prints, "fp", bits), "a", "b")
+    rooted = each.join(roots, F.col("fp") == F.col("node"), "left")
+    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    out = prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp")
+    hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return out.select(F.col("id").alias(id_col), "fp", hexadecimal, "component_id")
+
+
+def _node(which: Column, fp: Column) -> Column:
+    """One graph for all fingerprints: those of number 0 are themselves, the others hashed with their number."""
+    return F.when(which == 0, fp).otherwise(F.xxhash64(which, fp))
 
 
 def deduplicate(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3, prints: int = 4
 ) -> DataFrame:
-    """One row of each component: the one with the smallest id (NULL ids last), of equal ones any. Columns as in ``docs``."""
-    row, fp = fresh(docs.columns, "row_now"), fresh(docs.columns, "fp_now")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())  # fixed once it is written
-    prints = stored(fingerprints(numbered, text_col, fp, shingle, keep_text=True), "fingerprinted")
-    ids = prints.select(F.struct(F.col(f"`{id_col}`").isNull(), f"`{id_col}`", row).alias("at"), fp)
-    winners = _component_of(ids, fp, F.col("at"), bits).select(F.col(f"component.{row}").alias(row)).distinct()
-    return prints.join(winners, row, "left_semi").drop(row, fp)
+    """One row of each group of near-duplicates: the one with the smallest id (NULL ids last). Columns as in ``docs``.
+
+    Two texts are linked if one of their ``prints`` fingerprints is equal or differs in at most ``bits`` bits; the first is that of
+    :func:`near_duplicates`. A single one misses many texts that differ in a word or two, as those few shingles
+    move about as many bits as are allowed; independent ones miss the same pair rarely. Texts without words are one group.
+    """
+    key = fresh(docs.columns, "key_now")
+    named = F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("-")), F.lit(":"), text_key(text_col))
+    keyed = docs.withColumn(key, named)
+    ids = keyed.select(F.col(f"`{id_col}`").alias("id"), F.col(key).alias("key"), F.col(f"`{text_col}`").alias("text"))
+    table = stored(fingerprints(ids, "text", "prints", shingle, prints), "fingerprints")
+    each = table.select(F.col("prints")[0].alias("fp0"), F.posexplode("prints").alias("which", "fp")).distinct()
+    links = stored(numbered_links(each.select("which", "fp"), bits), "print-links")
+    # Of the further fingerprints only those matter that link to or are shared with another.
+    used = links.select("which", F.col("a").alias("fp")).unionByName(links.select("which", F.col("b").alias("fp")))
+    shared = each.groupBy("which", "fp").agg(F.count("*").alias("n")).where("n > 1").select("which", "fp")
+    ties = each.join(used.unionByName(shared).where("which > 0").distinct(), ["which", "fp"])
+    which, fp = F.col("which"), F.col("fp")
+    edges = links.select(_node(which, F.col("a")).alias("x"), _node(which, F.col("b")).alias("y")).unionByName(
+        ties.select(F.col("fp0").alias("x"), _node(which, fp).alias("y"))
+    )
+    roots = component_roots(edges, "x", "y")
+    at = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    least = table.groupBy(F.col("prints")[0].alias("fp0")).agg(F.min(at).alias("least"))
+    rooted = least.join(roots, F.col("fp0") == F.col("node"), "left")
+    winners = rooted.groupBy(F.coalesce("root", "fp0").alias("root")).agg(F.min("least").alias("least"))
+    kept = keyed.join(winners.select(F.col("least.key").alias(key)), key, "left_semi")
+    repeated = not table.groupBy("key").count().where("count > 1").isEmpty()
+    return (kept.dropDuplicates([key]) if repeated else kept).drop(key)
