@@ -346,11 +346,12 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
                 regrouped[(int.from_bytes(h[:6], "little") % buckets, h)] = places
             settle(regrouped, 1, lambda b: b)
         number = int(left["chunk"].iloc[0])
+        home = int(mix(np.array([number], U))[0]) % buckets  # numbers of first chunks share their low bits
         if echo:
-            out.setdefault(number % buckets, [])
+            out.setdefault(home, [])
         flat = np.array(echo, dtype=np.int64).ravel()
         none = np.zeros(0, np.int64)
-        rows = [(b, number, _pack(items, flat if b == number % buckets else none)) for b, items in out.items()]
+        rows = [(b, number, _pack(items, flat if b == home else none)) for b, items in out.items()]
         return pd.DataFrame(rows, columns=["bucket", "chunk", "data"]) if rows else empty
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
