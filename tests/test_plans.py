@@ -74,3 +74,22 @@ def test_day_filter_prunes_partitions(stored):
     table = stored.stored.stored("stg_listen_events")
     plan = plan_of(table.where(F.col("event_date") == "2024-01-03"))
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_lag_shuffles_its_rows_once(spark, tmp_path):
+    """The carry is joined on the columns the window is partitioned by: no second exchange of the rows."""
+    from tracklake.operators import previous_within
+
+    path = str(tmp_path / "rows")
+    spark.range(2000).selectExpr("id % 7 AS k", "timestamp_millis(id * 1000) AS t", "id AS payload").write.parquet(path)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = final_plan(previous_within(spark.read.parquet(path), "k", "t", "before"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # Only the rows carry the payload; the carry table has the four key columns and an edge.
+    exchanged = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning", line)]
+    after_window = plan.split("Window")[0]
+    assert "SortMergeJoin" in after_window and after_window.count("Exchange hashpartitioning") == 0
+    assert len(exchanged) <= 4

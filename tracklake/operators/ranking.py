@@ -35,25 +35,43 @@ def next_within(
     return _neighbour(df, key, time, name, ties or [], bucket_seconds, F.lead, F.min)
 
 
+def _never_null(column: Column, kind: str) -> Column:
+    """A stand-in to partition and join on where the value is NULL; the flag beside it keeps the cases apart."""
+    numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
+    return F.coalesce(column, F.lit(0).cast(kind)) if numeric else F.coalesce(column.cast("string"), F.lit(""))
+
+
 def _neighbour(df, key, time, name, ties, bucket_seconds, step, edge) -> DataFrame:
     """Lag or lead by time buckets.
 
     Rows are sorted per key and time bucket. The outermost row of a bucket takes
     the nearest time of the key's neighbouring bucket, from a table of one row
-    per key and bucket whose size per key is bounded by the calendar.
+    per key and bucket whose size per key is bounded by the calendar. That table
+    is joined on the very columns the rows are partitioned by for the window, so
+    the rows are shuffled once.
     """
-    bucketed = df.withColumn("_bucket", time_bucket(F.col(time), bucket_seconds))
-    inside = Window.partitionBy(key, "_bucket").orderBy(F.col(time), *ties)
-    across = Window.partitionBy(key).orderBy("_bucket")
+    own = ["_key", "_no_key", "_bucket", "_no_time"]
+    bucket = time_bucket(F.col(time), bucket_seconds)
+    bucketed = df.withColumns(
+        {
+            "_key": _never_null(F.col(key), dict(df.dtypes)[key]),
+            "_no_key": F.col(key).isNull(),
+            # Rows without a time come first, as they do in a window in ascending order.
+            "_bucket": F.coalesce(bucket, F.lit(-(2**62))),
+            "_no_time": bucket.isNull(),
+        }
+    )
+    inside = Window.partitionBy(*own).orderBy(F.col(time), *ties)
+    across = Window.partitionBy("_key", "_no_key").orderBy("_bucket")
     carry = (
-        bucketed.groupBy(key, "_bucket")
+        bucketed.groupBy(*own)
         .agg(edge(time).alias("_edge"))
         .withColumn("_carry", step("_edge", 1).over(across))
         .drop("_edge")
     )
     rows = bucketed.withColumn("_near", step(time, 1).over(inside))
     return (
-        join_null_safe(rows, carry, [key, "_bucket"], "left")
+        rows.join(carry, own, "left")
         .withColumn(name, F.coalesce("_near", "_carry"))
-        .drop("_bucket", "_near", "_carry")
+        .select(*[F.col(f"`{c}`") for c in df.columns], name)
     )

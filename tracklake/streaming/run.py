@@ -46,15 +46,18 @@ def start_topic(
     settings: IngestSettings,
     topic: str,
     source: Callable[[SparkSession, IngestSettings, str], DataFrame] = event_stream,
+    partition_by: Iterable[str] = PARTITIONS,
 ) -> list[StreamingQuery]:
     """Store the topic's events, and beside them what could not be read.
 
-    Two queries, each with its own checkpoint, keep both sinks exactly-once.
+    Two queries, each with its own checkpoint, keep both sinks exactly-once. ``partition_by=PARTITIONS_WITHOUT_YEAR``
+    writes the older layout.
     """
     messages = source(spark, settings, topic)
     common = {"trigger": settings.trigger_interval, "run_once": settings.run_once}
     events = file_sink(
-        decode_events(messages, topic), settings.sink_path(topic), settings.checkpoint_path(topic), **common
+        decode_events(messages, topic), settings.sink_path(topic), settings.checkpoint_path(topic),
+        partition_by=partition_by, **common,
     )
     letters = file_sink(
         rejected(decoded_with_context(messages, topic)),
