@@ -58,4 +58,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
-ORACLE: dict[str, str] = {"op2_decontamination": OP2, "op4_url_filter": OP4}
+OP3 = r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, e,
+    label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0 AS ok
+  FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+), links AS (
+  SELECT a.r AS x, b.r AS y, b.vec_id AS other FROM (SELECT * FROM v WHERE ok) a JOIN (SELECT * FROM v WHERE ok) b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.93
+), reach AS (
+  SELECT r AS x, r AS y FROM v
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), component AS (
+  SELECT reach.x AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.y GROUP BY reach.x
+), n AS (SELECT x AS r, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN component USING (r) LEFT JOIN n USING (r)
+"""
+
+OP6 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS win
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS p
+  FROM g JOIN (SELECT win FROM g GROUP BY win HAVING count(*) > 1) USING (win)
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op2_decontamination": OP2, "op3_vectors": OP3, "op4_url_filter": OP4, "op6_substrings": OP6}

@@ -39,8 +39,8 @@ class Rule:
     """What counts as a repeat.
 
     ``words``: units are words, else bytes. ``earlier_only``: a window goes if it also starts in a document with a smaller id; else
-    if it also starts anywhere else. ``resolve`` gets differing texts (lists of unit sequences) and what is known of each
-    text as a whole, and returns one array per text: for ``earlier_only`` the smallest id in which each window occurs, else whether
+    if it also starts anywhere else. ``resolve`` gets differing texts (lists of unit sequences), what is known of each
+    text as a whole, their owners and this rule, and returns one array per text: for ``earlier_only`` the smallest id in which each window occurs, else whether
     each occurs more than once.
     """
 
@@ -48,7 +48,7 @@ class Rule:
     window: int
     gram: int
     earlier_only: bool
-    resolve: Callable[[list, list[int], int], list[np.ndarray]]
+    resolve: Callable[[list, list[int], list[int], "Rule"], list[np.ndarray]]
     hot: int = 300
     chunk_bytes: int = 1 << 20
     buckets: tuple[int, int] = (256, 1024)
@@ -81,6 +81,18 @@ def gram_hashes(units: np.ndarray, size: int, factor: int) -> np.ndarray:
         return out
 
 
+def byte_grams(raw: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every ``size`` (eight at least) consecutive bytes."""
+    n = len(raw) - size + 1
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(padded) - 8,), dtype="<u8", buffer=padded, strides=(1,))
+    with np.errstate(over="ignore"):
+        x = mix(eight[:n])
+        for at in [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]:
+            x = mix((x ^ eight[at : at + n]) * U(0x9E3779B97F4A7C15))
+    return x >> U(64 - OWNER_BITS)
+
+
 class Chunk:
     """Documents of one chunk as units, with the runs of windows that share an owner."""
 
@@ -102,16 +114,10 @@ class Chunk:
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
 
     def _grams(self) -> np.ndarray:
-        size, n = self.rule.gram, len(self.units) - self.rule.gram + 1
+        if not self.rule.words:
+            return byte_grams(self.raw, self.rule.gram)
         with np.errstate(over="ignore"):
-            if self.rule.words:
-                return mix(gram_hashes(self.units, size, 0x9E3779B97F4A7C15)) >> U(64 - OWNER_BITS)
-            padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
-            eight = np.ndarray((len(padded) - 8,), dtype="<u8", buffer=padded, strides=(1,))
-            x = mix(eight[:n])
-            for at in [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]:
-                x = mix((x ^ eight[at : at + n]) * U(0x9E3779B97F4A7C15))
-            return x >> U(64 - OWNER_BITS)
+            return mix(gram_hashes(self.units, self.rule.gram, 0x9E3779B97F4A7C15)) >> U(64 - OWNER_BITS)
 
     def runs(self) -> None:
         """``owner``, ``start``, ``length`` (in windows) and ``of`` (document) of every run."""
@@ -355,14 +361,14 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
         return pd.DataFrame(rows, columns=["bucket", "chunk", "data"]) if rows else empty
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
-        ranges: dict[int, list] = {}
+        ranges: dict[int, list[int]] = {}
         known: dict = {}  # (kind, text) -> what is known of the text as a whole
         owners: dict[int, list[bytes]] = {}
         waiting = []
         for number, data in zip(frame["chunk"], frame["data"], strict=True):
             items, echo = _unpack(data)
             if len(echo):
-                ranges.setdefault(number, []).append(echo)
+                ranges.setdefault(number, []).extend(echo.tolist())
             for kind, owner, text, value, starts in items:
                 key = (kind, text)
                 if key in known:
@@ -373,25 +379,32 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
                         owners.setdefault(owner, []).append(text)
                 if starts:
                     waiting.append((number, key, value, starts))
-        doubtful = [
-            t for texts in owners.values() if len(texts) > 1 or not rule.earlier_only and known[(0, texts[0])] < 2 for t in texts
-        ]
+        doubtful, owned = [], []
+        for owner, texts in owners.items():
+            if len(texts) > 1 or not rule.earlier_only and known[(0, texts[0])] < 2:
+                doubtful += texts
+                owned += [owner] * len(texts)
         detail: dict[bytes, np.ndarray] = {}
         if doubtful:
             units = [t.split(b" ") for t in doubtful] if rule.words else doubtful
-            detail = dict(zip(doubtful, rule.resolve(units, [known[(0, t)] for t in doubtful], window), strict=True))
+            detail = dict(zip(doubtful, rule.resolve(units, [known[(0, t)] for t in doubtful], owned, rule), strict=True))
         for number, key, value, starts in waiting:
+            units = 1 if key[0] else key[1].count(b" ") + 1 if rule.words else len(key[1])
+            runs = [(0, units - window)] if not key[0] else [(0, 0)]
             if key[0] == 0 and key[1] in detail:
                 flags = detail[key[1]] < value if rule.earlier_only else detail[key[1]]
-            else:
-                windows = 1
-                if key[0] == 0:
-                    windows = (key[1].count(b" ") + 1 if rule.words else len(key[1])) - window + 1
-                flags = np.full(windows, known[key] < value if rule.earlier_only else known[key] > 1)
-            first, last = _runs_of(flags)
+                found = np.count_nonzero(flags)
+                if not found:
+                    continue
+                if found < len(flags):
+                    runs = list(zip(*(x.tolist() for x in _runs_of(flags)), strict=True))
+            elif not (known[key] < value if rule.earlier_only else known[key] > 1):
+                continue
+            to = ranges.setdefault(number, [])
             for s in starts:
-                ranges.setdefault(number, []).append(np.stack([first + s, last + s + window], axis=1).ravel())
-        rows = [(n, np.concatenate(r).astype("<i8").tobytes()) for n, r in ranges.items()]
+                for a, b in runs:
+                    to += (a + s, b + s + window)
+        rows = [(n, np.array(r, dtype="<i8").tobytes()) for n, r in ranges.items()]
         return pd.DataFrame(rows, columns=["chunk", "ranges"])
 
     def end(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

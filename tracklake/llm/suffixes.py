@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tracklake.llm.repeats import NO_ID, Chunk, Rule, find_repeats
+from tracklake.llm.repeats import NO_ID, Chunk, Rule, byte_grams, find_repeats
 
 
 def suffix_array(symbols: bytes | list[int]) -> list[int]:
@@ -114,24 +114,55 @@ def suffix_array(symbols: bytes | list[int]) -> list[int]:
     return out
 
 
-def smallest_ids(texts: list[bytes], least: list[int], window: int) -> list[np.ndarray]:
-    """For every ``window``-byte string of every text, the smallest id of the texts it occurs in."""
-    joined = b"\0".join(texts) + b"\0"
+def shortened(texts: list[bytes], owners: list[int], rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as symbols, each ended by a zero; where each begins; and the symbols of a window of each.
+
+    Texts of one owner all hold its gram, and so do all of their windows. Where every text of the owner holds it once, it is
+    written as one symbol of its own, which shortens what is to be sorted and keeps equal windows equal.
+    """
+    joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     edge = np.concatenate([[0], np.cumsum(sizes + 1)])
     text = np.repeat(np.arange(len(texts)), sizes + 1)
-    order = np.array(suffix_array(joined), dtype=np.int64)
-    order = order[order + window < edge[text[order] + 1]]  # those with a whole window before the end of their text
-    seen = np.lib.stride_tricks.sliding_window_view(np.frombuffer(joined, np.uint8), window)
-    new = np.ones(len(order), dtype=bool)
-    for at in range(1, len(order), 65536):
-        stop = min(len(order), at + 65536)
-        new[at:stop] = (seen[order[at:stop]] != seen[order[at - 1 : stop - 1]]).any(axis=1)
-    start = np.flatnonzero(new)
-    smallest = np.minimum.reduceat(np.array(least, dtype=np.int64)[text[order]], start)
-    by_place = np.full(len(joined), NO_ID, dtype=np.int64)
-    by_place[order] = np.repeat(smallest, np.diff(np.append(start, len(order))))
-    return [by_place[a : a + n - window + 1] for a, n in zip(edge[:-1].tolist(), sizes.tolist(), strict=True)]
+    _, group = np.unique(owners, return_inverse=True)
+    grams = byte_grams(joined, rule.gram)
+    inside = np.arange(len(grams)) + rule.gram < edge[text[: len(grams)] + 1]
+    held = np.flatnonzero((grams == np.array(owners, dtype=np.uint64)[text[: len(grams)]]) & inside)
+    times = np.bincount(text[held], minlength=len(texts))
+    single = np.ones(group.max() + 1, dtype=bool)
+    single[group[times != 1]] = False
+    held = held[single[group[text[held]]]]
+    symbols = joined.astype(np.int64) + 1
+    symbols[edge[1:] - 1] = 0
+    symbols[held] = 257 + group[text[held]]
+    keep = np.ones(len(joined), dtype=bool)
+    for k in range(1, rule.gram):
+        keep[held + k] = False
+    gone = rule.gram - 1
+    width = np.where(single[group], rule.window - gone, rule.window)
+    begin = np.concatenate([[0], np.cumsum(sizes + 1 - np.where(single[group], gone, 0))])
+    return symbols[keep], begin, width
+
+
+def smallest_ids(texts: list[bytes], least: list[int], owners: list[int], rule: Rule) -> list[np.ndarray]:
+    """For every window of every text, the smallest id of the texts it occurs in."""
+    symbols, begin, width = shortened(texts, owners, rule)
+    text = np.repeat(np.arange(len(texts)), np.diff(begin))
+    order = np.array(suffix_array(symbols.tolist()), dtype=np.int64)
+    windows = np.array([len(t) for t in texts], dtype=np.int64) - rule.window + 1
+    order = order[order - begin[text[order]] < windows[text[order]]]  # suffixes that start with a window
+    by_place = np.full(len(symbols), NO_ID, dtype=np.int64)
+    for size in np.unique(width):
+        some = order[width[text[order]] == size]
+        seen = np.lib.stride_tricks.sliding_window_view(symbols, size)
+        new = np.ones(len(some), dtype=bool)
+        for at in range(1, len(some), 16384):
+            stop = min(len(some), at + 16384)
+            new[at:stop] = (seen[some[at:stop]] != seen[some[at - 1 : stop - 1]]).any(axis=1)
+        start = np.flatnonzero(new)
+        smallest = np.minimum.reduceat(np.array(least, dtype=np.int64)[text[some]], start)
+        by_place[some] = np.repeat(smallest, np.diff(np.append(start, len(some))))
+    return [by_place[a : a + n] for a, n in zip(begin[:-1].tolist(), windows.tolist(), strict=True)]
 
 
 BYTE_RULE = Rule(words=False, window=50, gram=24, earlier_only=True, resolve=smallest_ids)
