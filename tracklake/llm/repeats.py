@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm.common import stored
+from tracklake.llm.common import process_cache, stored
 
 U = np.uint64
 OWNER_BITS = 48
@@ -195,7 +195,7 @@ def _chunks(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=7)
         ids, texts, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -238,29 +238,55 @@ def _runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
 
 
+COLUMNS = ("u1", "<u8", "<u4", "<i8", "<u4")  # kind, owner, size of the text, id or multiplicity, number of starts
+
+
+def _planes(column: np.ndarray) -> bytes:
+    """Bytes of a column by their place in the number: high bytes are mostly equal and then take no room."""
+    return column.view(np.uint8).reshape(len(column), column.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind: str, count: int, at: int) -> tuple[np.ndarray, int]:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(raw, np.uint8, count * width, at).reshape(width, count)
+    return np.ascontiguousarray(planes.T).view(kind).ravel(), at + count * width
+
+
+def _squeezer() -> tuple[Callable[[bytes], bytes], Callable[[bytes], bytes]]:
+    def make() -> tuple:
+        import zstandard
+
+        return zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+
+    return process_cache("squeezer", make)
+
+
 def _pack(items: list[tuple], echo: np.ndarray) -> bytes:
     """Items: (kind, owner, text, id or multiplicity, starts)."""
-    import zstandard
-
-    head = np.array([(k, o, len(t), v, len(s)) for k, o, t, v, s in items], dtype=np.int64).reshape(-1, 5)
-    starts = np.array([s for *_, starts in items for s in starts], dtype="<u4")
-    body = [struct.pack("<3q", len(head), len(starts), len(echo)), head.tobytes(), starts.tobytes(), echo.astype("<i8").tobytes()]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join([*body, *(t for _, _, t, _, _ in items)]))
+    kinds, owners, texts, values, starts = zip(*items, strict=True) if items else ((),) * 5
+    counts = [len(s) for s in starts]
+    flat = np.array([s for some in starts for s in some], dtype="<u4")
+    columns = (kinds, owners, [len(t) for t in texts], values, counts)
+    body = [struct.pack("<3q", len(items), len(flat), len(echo))]
+    body += [_planes(np.array(c, dtype=kind)) for c, kind in zip(columns, COLUMNS, strict=True)]
+    body += [_planes(flat), echo.astype("<i8").tobytes(), *texts]
+    return _squeezer()[0](b"".join(body))
 
 
 def _unpack(data: bytes) -> tuple[list[tuple], np.ndarray]:
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(data)
+    raw = _squeezer()[1](data)
     n, m, e = struct.unpack_from("<3q", raw)
-    head = np.frombuffer(raw, np.int64, n * 5, 24).reshape(-1, 5).tolist()
-    at = 24 + 40 * n
-    starts = np.frombuffer(raw, "<u4", m, at).tolist()
-    echo = np.frombuffer(raw, "<i8", e, at + 4 * m)
-    at += 4 * m + 8 * e
+    at, columns = 24, []
+    for kind in COLUMNS:
+        column, at = _from_planes(raw, kind, n, at)
+        columns.append(column.tolist())
+    flat, at = _from_planes(raw, "<u4", m, at)
+    flat = flat.tolist()
+    echo = np.frombuffer(raw, "<i8", e, at)
+    at += 8 * e
     items, s = [], 0
-    for kind, owner, size, value, count in head:
-        items.append((kind, owner, raw[at : at + size], value, starts[s : s + count]))
+    for kind, owner, size, value, count in zip(*columns, strict=True):
+        items.append((kind, owner, raw[at : at + size], value, flat[s : s + count]))
         at += size
         s += count
     return items, echo
@@ -281,15 +307,16 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
                 owner, count, _ = chunk.owners(ids)
                 order, there, edge = _split(owner, buckets)
                 short = (owner[order] // U(buckets)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                packed = np.concatenate([short, count[order][:, None]], axis=1)
-                out = [packed[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+                packed = np.concatenate([short[:, ::-1], count[order][:, None]], axis=1)
+                squeeze = _squeezer()[0]
+                out = [squeeze(packed[a:b].T.tobytes()) for a, b in zip(edge[:-1], edge[1:], strict=True)]
                 yield pd.DataFrame({"bucket": there.astype(np.int32), "chunk": np.full(len(there), row["chunk"]), "data": out})
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(d, np.uint8).reshape(-1, 6) for d in frame["data"]]
+        parts = [np.frombuffer(_squeezer()[1](d), np.uint8).reshape(6, -1).T for d in frame["data"]]
         every = np.concatenate(parts)
         wide = np.zeros((len(every), 8), np.uint8)
-        wide[:, :5] = every[:, :5]
+        wide[:, :5] = every[:, 4::-1]
         distinct, index = np.unique(wide.view("<u8").ravel(), return_inverse=True)
         total = np.bincount(index, every[:, 5], len(distinct))
         code = np.where(total > rule.hot, 2, np.where(total > 1, 1, 0)).astype(np.uint8)[index]
@@ -321,6 +348,13 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
         def settle(groups: dict, kind: int, bucket_of: Callable) -> None:
             """Decide what this chunk can; send one representative of each text."""
             for (head, text), places in groups.items():
+                if type(places) is tuple:  # once in this chunk, as nearly all
+                    value = places[0] if rule.earlier_only else 1
+                    to = out.get(b := bucket_of(head))
+                    if to is None:
+                        to = out[b] = []
+                    to.append((kind, head if kind == 0 else 0, text, value, (places[1],)))
+                    continue
                 if rule.earlier_only:
                     value = min(p[0] for p in places)
                     open_ = [p[1] for p in places if p[0] == value]
@@ -330,13 +364,23 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
                     open_ = [places[0][1]] if value == 1 else []
                     if value > 1:
                         echo.extend((p[1], p[1] + p[2] - 1 + window) for p in places)
-                out.setdefault(bucket_of(head), []).append((kind, head, text, value, open_))
+                out.setdefault(bucket_of(head), []).append((kind, head if kind == 0 else 0, text, value, open_))
+
+        def add(groups: dict, key: tuple, place: tuple) -> None:
+            there = groups.get(key)
+            if there is None:
+                groups[key] = place
+            elif type(there) is tuple:
+                groups[key] = [there, place]
+            else:
+                there.append(place)
 
         groups: dict = {}
+        text_of = chunk.text
         some = np.flatnonzero(run_code == 1)
         doc_id = ids[chunk.of[some]].tolist()
         for d, s, n, o in zip(doc_id, chunk.start[some].tolist(), chunk.length[some].tolist(), chunk.owner[some].tolist(), strict=True):
-            groups.setdefault((o, chunk.text(s, n - 1 + window)), []).append((d, s, n))
+            add(groups, (o, text_of(s, n - 1 + window)), (d, s, n))
         settle(groups, 0, lambda o: o % buckets)
         some = np.flatnonzero(run_code == 2)
         if len(some):
@@ -346,7 +390,7 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
             doc_id = ids[chunk.doc[at]].tolist()
             groups = {}
             for d, s, h in zip(doc_id, at.tolist(), map(bytes, hashes.view(np.uint8).reshape(-1, 16)), strict=True):
-                groups.setdefault((0, h), []).append((d, s, 1))
+                add(groups, (0, h), (d, s, 1))
             regrouped: dict = {}
             for (_, h), places in groups.items():
                 regrouped[(int.from_bytes(h[:6], "little") % buckets, h)] = places
