@@ -39,8 +39,8 @@ class Rule:
     """What counts as a repeat.
 
     ``words``: units are words, else bytes. ``earlier_only``: a window goes if it also starts in a document with a smaller id; else
-    if it also starts anywhere else. ``resolve`` gets differing texts (lists of unit sequences), what is known of each
-    text as a whole, their owners and this rule, and returns one array per text: for ``earlier_only`` the smallest id in which each window occurs, else whether
+    if it also starts anywhere else. ``resolve`` gets the texts of
+    each owner that need comparing, as (kind, owner, text), what is known of each as a whole, and this rule; it returns one array per text: for ``earlier_only`` the smallest id in which each window occurs, else whether
     each occurs more than once.
     """
 
@@ -48,7 +48,7 @@ class Rule:
     window: int
     gram: int
     earlier_only: bool
-    resolve: Callable[[list, list[int], list[int], "Rule"], list[np.ndarray]]
+    resolve: Callable[[list[list[tuple]], list[int], "Rule"], list[np.ndarray]]
     hot: int = 300
     chunk_bytes: int = 1 << 20
     buckets: tuple[int, int] = (256, 1024)
@@ -93,6 +93,18 @@ def byte_grams(raw: np.ndarray, size: int) -> np.ndarray:
     return x >> U(64 - OWNER_BITS)
 
 
+def gram_checks(raw: np.ndarray, places: np.ndarray) -> list[bytes]:
+    """Two more bytes of hash of the grams of 24 bytes or more at these places; with the owner they make 64 bits."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(padded) - 8,), dtype="<u8", buffer=padded, strides=(1,))
+    with np.errstate(over="ignore"):
+        x = mix(eight[places] * U(0xD6E8FEB86659FD93))
+        for at in (8, 16):
+            x = mix((x ^ eight[places + at]) * U(0xD6E8FEB86659FD93))
+    two = (x >> U(48)).astype("<u2").tobytes()
+    return [two[k : k + 2] for k in range(0, len(two), 2)]
+
+
 class Chunk:
     """Documents of one chunk as units, with the runs of windows that share an owner."""
 
@@ -140,7 +152,7 @@ class Chunk:
         stops = np.flatnonzero(inside & np.append(change[1:] | ~inside[1:], True))
         self.start, self.length = starts, stops - starts + 1
         self.owner, self.of = low[starts], self.doc[starts]
-        self.grams = x
+        self.grams, self.low = x, low
 
     def owners(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct owners, the count of each (ids or places; at most 255), and the index of each run's owner."""
@@ -154,6 +166,28 @@ class Chunk:
             count = times[np.searchsorted(values, distinct)] if len(distinct) else np.zeros(0, np.int64)
         return distinct, np.minimum(count, 255).astype(np.uint8), index
 
+    def held(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For these runs, where the owner's gram first stands and how often it stands in the run."""
+        wide = self.rule.window - self.rule.gram + 1
+        # A gram is the smallest of some window exactly if the largest of its windows' minima is its own hash.
+        top = np.concatenate([np.zeros(wide - 1, U), self.low, np.zeros(max(0, len(self.grams) - len(self.low)), U)])
+        span = 1
+        while span * 2 <= wide:
+            top = np.maximum(top[:-span], top[span:])
+            span *= 2
+        if span < wide:
+            top = np.maximum(top[: len(top) - (wide - span)], top[wide - span :])
+        chosen = np.flatnonzero(top[: len(self.grams)] == self.grams)
+        start, stop = self.start[some], self.start[some] + self.length[some] - 1 + wide
+        at, to = np.searchsorted(chosen, start), np.searchsorted(chosen, stop)
+        first, times = np.full(len(some), -1), np.zeros(len(some), np.int64)
+        for step in range(int((to - at).max()) if len(some) else 0):
+            place = chosen[np.minimum(at + step, len(chosen) - 1)]
+            hit = (at + step < to) & (self.grams[place] == self.owner[some])
+            first = np.where(hit & (first < 0), place, first)
+            times += hit
+        return first, times
+
     def text(self, start: int, units: int) -> bytes:
         return b" ".join(self.words[start : start + units]) if self.rule.words else self.data[start : start + units]
 
@@ -353,7 +387,7 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
                     to = out.get(b := bucket_of(head))
                     if to is None:
                         to = out[b] = []
-                    to.append((kind, head if kind == 0 else 0, text, value, (places[1],)))
+                    to.append((kind, head if kind != 1 else 0, text, value, (places[1],)))
                     continue
                 if rule.earlier_only:
                     value = min(p[0] for p in places)
@@ -364,7 +398,7 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
                     open_ = [places[0][1]] if value == 1 else []
                     if value > 1:
                         echo.extend((p[1], p[1] + p[2] - 1 + window) for p in places)
-                out.setdefault(bucket_of(head), []).append((kind, head if kind == 0 else 0, text, value, open_))
+                out.setdefault(bucket_of(head), []).append((kind, head if kind != 1 else 0, text, value, open_))
 
         def add(groups: dict, key: tuple, place: tuple) -> None:
             there = groups.get(key)
@@ -379,9 +413,24 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
         text_of = chunk.text
         some = np.flatnonzero(run_code == 1)
         doc_id = ids[chunk.of[some]].tolist()
-        for d, s, n, o in zip(doc_id, chunk.start[some].tolist(), chunk.length[some].tolist(), chunk.owner[some].tolist(), strict=True):
-            add(groups, (o, text_of(s, n - 1 + window)), (d, s, n))
-        settle(groups, 0, lambda o: o % buckets)
+        runs = (doc_id, chunk.start[some].tolist(), chunk.length[some].tolist(), chunk.owner[some].tolist())
+        if rule.words:
+            for d, s, n, o in zip(*runs, strict=True):
+                add(groups, (o, text_of(s, n - 1 + window)), (d, s, n))
+            settle(groups, 0, lambda o: o % buckets)
+        else:
+            first, times = chunk.held(some)
+            check = gram_checks(chunk.raw, first)
+            whole: dict = {}
+            data, gram = chunk.data, rule.gram
+            for d, s, n, o, p, c, t in zip(*runs, first.tolist(), check, times.tolist(), strict=True):
+                if t == 1:  # without the gram, which the owner and the check stand for
+                    text = c + bytes((p - s,)) + data[s:p] + data[p + gram : s + n - 1 + window]
+                    add(groups, (o, text), (d, s, n))
+                else:
+                    add(whole, (o, c + data[s : s + n - 1 + window]), (d, s, n))
+            settle(groups, 2, lambda o: o % buckets)
+            settle(whole, 0, lambda o: o % buckets)
         some = np.flatnonzero(run_code == 2)
         if len(some):
             at = np.repeat(chunk.start[some] - np.cumsum(chunk.length[some]) + chunk.length[some], chunk.length[some])
@@ -406,37 +455,34 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
         ranges: dict[int, list[int]] = {}
-        known: dict = {}  # (kind, text) -> what is known of the text as a whole
-        owners: dict[int, list[bytes]] = {}
+        known: dict = {}  # (kind, owner, text) -> what is known of the text as a whole
+        owners: dict[tuple, list[tuple]] = {}
         waiting = []
         for number, data in zip(frame["chunk"], frame["data"], strict=True):
             items, echo = _unpack(data)
             if len(echo):
                 ranges.setdefault(number, []).extend(echo.tolist())
             for kind, owner, text, value, starts in items:
-                key = (kind, text)
+                key = (kind, owner, text)
                 if key in known:
                     known[key] = min(known[key], value) if rule.earlier_only else known[key] + value
                 else:
                     known[key] = value
-                    if kind == 0:
-                        owners.setdefault(owner, []).append(text)
+                    if kind != 1:
+                        owners.setdefault(owner if rule.words else (owner, text[:2]), []).append(key)
                 if starts:
                     waiting.append((number, key, value, starts))
-        doubtful, owned = [], []
-        for owner, texts in owners.items():
-            if len(texts) > 1 or not rule.earlier_only and known[(0, texts[0])] < 2:
-                doubtful += texts
-                owned += [owner] * len(texts)
-        detail: dict[bytes, np.ndarray] = {}
+        groups = [g for g in owners.values() if len(g) > 1 or not rule.earlier_only and known[g[0]] < 2]
+        doubtful = [key for group in groups for key in group]
+        detail: dict[tuple, np.ndarray] = {}
         if doubtful:
-            units = [t.split(b" ") for t in doubtful] if rule.words else doubtful
-            detail = dict(zip(doubtful, rule.resolve(units, [known[(0, t)] for t in doubtful], owned, rule), strict=True))
+            detail = dict(zip(doubtful, rule.resolve(groups, [known[key] for key in doubtful], rule), strict=True))
         for number, key, value, starts in waiting:
-            units = 1 if key[0] else key[1].count(b" ") + 1 if rule.words else len(key[1])
-            runs = [(0, units - window)] if not key[0] else [(0, 0)]
-            if key[0] == 0 and key[1] in detail:
-                flags = detail[key[1]] < value if rule.earlier_only else detail[key[1]]
+            kind, _, text = key
+            units = window if kind == 1 else text.count(b" ") + 1 if rule.words else len(text) - 2 + (kind == 2) * (rule.gram - 1)
+            runs = [(0, units - window)]
+            if key in detail:
+                flags = detail[key] < value if rule.earlier_only else detail[key]
                 found = np.count_nonzero(flags)
                 if not found:
                     continue

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame
 from tracklake.llm.repeats import Chunk, Rule, find_repeats
 
 
-def factor(texts: list[list[bytes]], times: list[int], owners: list[int], rule: Rule) -> list[np.ndarray]:
+def factor(groups: list[list[tuple]], times: list[int], rule: Rule) -> list[np.ndarray]:
     """Whether each window of each text occurs at more than one place; a text that occurs twice is a repeat throughout."""
     window = rule.window
+    texts = [text.split(b" ") for group in groups for _, _, text in group]
     index: dict[tuple, list] = {}  # window -> first place, and whether there are others
     shared: list[list[tuple]] = []
     for t, words in enumerate(texts):

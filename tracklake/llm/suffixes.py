@@ -114,42 +114,43 @@ def suffix_array(symbols: bytes | list[int]) -> list[int]:
     return out
 
 
-def shortened(texts: list[bytes], owners: list[int], rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shortened(groups: list[list[tuple]], rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The texts as symbols, each ended by a zero; where each begins; and the symbols of a window of each.
 
-    Texts of one owner all hold its gram, and so do all of their windows. Where every text of the owner holds it once, it is
-    written as one symbol of its own, which shortens what is to be sorted and keeps equal windows equal.
+    Texts of one owner all hold its gram, and so do all of their windows. Texts that hold it once come without it (kind 2: a check,
+    the gram's place, what stands before and behind). If all of an owner's are of that kind, the gram is one symbol of its own,
+    which shortens what is to be sorted and keeps equal windows equal; else it is put back from a text that is whole.
     """
-    joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
-    sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    edge = np.concatenate([[0], np.cumsum(sizes + 1)])
-    text = np.repeat(np.arange(len(texts)), sizes + 1)
-    _, group = np.unique(owners, return_inverse=True)
-    grams = byte_grams(joined, rule.gram)
-    inside = np.arange(len(grams)) + rule.gram < edge[text[: len(grams)] + 1]
-    held = np.flatnonzero((grams == np.array(owners, dtype=np.uint64)[text[: len(grams)]]) & inside)
-    times = np.bincount(text[held], minlength=len(texts))
-    single = np.ones(group.max() + 1, dtype=bool)
-    single[group[times != 1]] = False
-    held = held[single[group[text[held]]]]
-    symbols = joined.astype(np.int64) + 1
-    symbols[edge[1:] - 1] = 0
-    symbols[held] = 257 + group[text[held]]
-    keep = np.ones(len(joined), dtype=bool)
-    for k in range(1, rule.gram):
-        keep[held + k] = False
-    gone = rule.gram - 1
-    width = np.where(single[group], rule.window - gone, rule.window)
-    begin = np.concatenate([[0], np.cumsum(sizes + 1 - np.where(single[group], gone, 0))])
-    return symbols[keep], begin, width
-
-
-def smallest_ids(texts: list[bytes], least: list[int], owners: list[int], rule: Rule) -> list[np.ndarray]:
+    parts: list[np.ndarray] = []
+    width = []
+    byte = lambda raw: np.frombuffer(raw, np.uint8).astype(np.int64) + 1
+    end = np.zeros(1, np.int64)
+    for k, group in enumerate(groups):
+        whole = next((t for kind, _, t in group if kind == 0), None)
+        if whole is None:
+            mark = np.array([257 + k])
+        else:
+            raw = np.frombuffer(whole[2:], np.uint8)
+            at = int(np.flatnonzero(byte_grams(raw, rule.gram) == np.uint64(group[0][1]))[0])
+            mark = byte(whole[2 + at : 2 + at + rule.gram])
+        for kind, _, text in group:
+            if kind == 0:
+                parts += (byte(text[2:]), end)
+            else:
+                cut = 3 + text[2]
+                parts += (byte(text[3:cut]), mark, byte(text[cut:]), end)
+            width.append(rule.window if whole is not None else rule.window - rule.gram + 1)
+    symbols = np.concatenate(parts)
+    return symbols, np.concatenate([[0], np.flatnonzero(symbols == 0) + 1]), np.array(width)
+
+
+def smallest_ids(groups: list[list[tuple]], least: list[int], rule: Rule) -> list[np.ndarray]:
     """For every window of every text, the smallest id of the texts it occurs in."""
-    symbols, begin, width = shortened(texts, owners, rule)
-    text = np.repeat(np.arange(len(texts)), np.diff(begin))
+    symbols, begin, width = shortened(groups, rule)
+    sizes = np.diff(begin)
+    text = np.repeat(np.arange(len(sizes)), sizes)
     order = np.array(suffix_array(symbols.tolist()), dtype=np.int64)
-    windows = np.array([len(t) for t in texts], dtype=np.int64) - rule.window + 1
+    windows = sizes - width  # one symbol of each text is its end
     order = order[order - begin[text[order]] < windows[text[order]]]  # suffixes that start with a window
     by_place = np.full(len(symbols), NO_ID, dtype=np.int64)
     for size in np.unique(width):
