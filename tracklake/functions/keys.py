@@ -15,7 +15,8 @@ def key_text(name: str, dtype: T.DataType) -> str:
     """SQL for the text a key column contributes, in the warehouse's own notation.
 
     Times print as UTC with 0, 3 or 6 fraction digits and a ``+00`` suffix;
-    whole doubles print without ``.0``; everything else is a plain cast.
+    whole doubles print without ``.0`` (from 1e7 on, and below 1e-3, Spark's
+    exponent form stays); everything else is a plain cast.
     """
     column = f"`{name}`"
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

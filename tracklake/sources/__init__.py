@@ -1,10 +1,11 @@
-from .feeds import csv_with_header, delimited_feed, json_archive, seed
+from .feeds import csv_with_header, delimited_feed, feed_rejects, json_archive, seed
 from .lake import drop_view, hour_has_rows, hour_of, parquet_glob, register_view, snake_case_columns
 from .stream import event_stream, file_stream, kafka_options, kafka_stream, rate_stream
 
 __all__ = [
     "csv_with_header",
     "delimited_feed",
+    "feed_rejects",
     "drop_view",
     "event_stream",
     "file_stream",
