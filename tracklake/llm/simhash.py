@@ -219,11 +219,6 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), "fp", hexadecimal, "component_id")
 
 
-def _node(which: Column, fp: Column) -> Column:
-    """One graph for all fingerprints: those of number 0 are themselves, the others hashed with their number."""
-    return F.when(which == 0, fp).otherwise(F.xxhash64(which, fp))
-
-
 def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3, prints: int = 4
 ) -> DataFrame:
@@ -240,14 +235,13 @@ def deduplicate(
     table = stored(fingerprints(ids, "text", "prints", shingle, prints), "fingerprints")
     each = table.select(F.col("prints")[0].alias("fp0"), F.posexplode("prints").alias("which", "fp")).distinct()
     links = stored(numbered_links(each.select("which", "fp"), bits), "print-links")
-    # Of the further fingerprints only those matter that link to or are shared with another.
-    used = links.select("which", F.col("a").alias("fp")).unionByName(links.select("which", F.col("b").alias("fp")))
-    shared = each.groupBy("which", "fp").agg(F.count("*").alias("n")).where("n > 1").select("which", "fp")
-    ties = each.join(used.unionByName(shared).where("which > 0").distinct(), ["which", "fp"])
-    which, fp = F.col("which"), F.col("fp")
-    edges = links.select(_node(which, F.col("a")).alias("x"), _node(which, F.col("b")).alias("y")).unionByName(
-        ties.select(F.col("fp0").alias("x"), _node(which, fp).alias("y"))
-    )
+    # Every fingerprint value stands for the smallest first fingerprint it occurs with: one graph, without further nodes.
+    stands = each.groupBy("which", "fp").agg(F.min("fp0").alias("rep"), F.count("*").alias("n"))
+    of = stands.select("which", "fp", "rep")
+    linked = links.join(of.withColumnsRenamed({"fp": "a", "rep": "x"}), ["which", "a"])
+    linked = linked.join(of.withColumnsRenamed({"fp": "b", "rep": "y"}), ["which", "b"]).select("x", "y")
+    shared = each.join(stands.where("n > 1"), ["which", "fp"]).select(F.col("fp0").alias("x"), F.col("rep").alias("y"))
+    edges = linked.unionByName(shared).where("x <> y").distinct()
     roots = component_roots(edges, "x", "y")
     at = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     least = table.groupBy(F.col("prints")[0].alias("fp0")).agg(F.min(at).alias("least"))
