@@ -47,3 +47,25 @@ def test_edge_rows(spark):
     got = sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in extract_text(df).collect())
     assert got == [(0, "", 0), (1, "a, b", 4), (1, "a, b", 4), (2, "", 0)]
     assert extract_text(df.limit(0)).count() == 0
+
+
+def test_wrappers_around_the_article_stay():
+    body = "<h1>Title</h1><p>The first, long, paragraph of the text, with commas, and words.</p><p>The second, shorter.</p>"
+    want = "Title\nThe first, long, paragraph of the text, with commas, and words.\nThe second, shorter."
+    around = "<nav><a href=x>Home</a></nav><div class='sidebar'><p>Aside, text</p></div>{}<div class='comments'>{}</div>"
+    remarks = "<article><p>Nice, really, very, very, nice, and long, longer than, the text, of the page, itself, by far, it is.</p></article>"
+    for name in ("layout no-sidebar", "content-sidebar-wrap", "has-header", "right-sidebar", "with_sidebar", "overlay"):
+        for tag in ("article", "main", "div"):
+            page = f"<body><div class='{name}'><{tag}>{body}</{tag}></div></body>"
+            assert main_text(page) == want, (name, tag)
+            if tag != "div":
+                page = around.format(f"<div id='{name}'><{tag}>{body}</{tag}></div>", remarks)
+                assert main_text(f"<body>{page}</body>") == want, (name, tag)
+    for form in ("<form id='aspnetForm'>", "<form class='search' role='form'>", "<fieldset>", "<div role='dialog'>"):
+        end = "</" + form[1:].split()[0].rstrip(">") + ">"
+        assert main_text(f"<body>{form}{around.format(f'<article>{body}</article>', remarks)}{end}</body>") == want, form
+        assert main_text(f"<body>{form}<div>{body}</div>{end}</body>") == want, form
+    # What was dropped rightly still is.
+    for name in ("sidebar", "cookie-notice", "site-footer", "comments-wrapper"):
+        page = f"<body><article>{body}</article><div class='{name}'><article>{remarks}</article></div></body>"
+        assert main_text(page) == want, name

@@ -2,8 +2,9 @@
 
 Every paragraph gives points for its length and its commas to its ancestors: all to the parent, half to the grandparent, less
 further up. A container's points are discounted by the share of its text that stands in links. The best container and those
-of its siblings that read like text are kept; elements that are never article text (menus, forms, adverts, comments, ...)
-are taken out first. Pages are independent: one pass beside the scan, no shuffle.
+of its siblings that read like text are kept; elements that are never article text (scripts, controls) are taken out first.
+Elements that seldom are (menus, forms, adverts, comments, ...) go too, unless the page's article stands in them: see
+``spare``. Pages are independent: one pass beside the scan, no shuffle.
 """
 
 from __future__ import annotations
@@ -28,19 +29,29 @@ BLOCK = frozenset(
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Never part of an article.
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog embed fieldset footer form frame frameset head iframe input label math menu nav "
-    "noframes noscript object option script select style svg template textarea title video".split()
+    "audio button canvas datalist embed frame frameset head iframe input label math noframes noscript object option script "
+    "select style svg template textarea title video".split()
 )
+#: Seldom part of an article, but may be wrapped around one.
+DOUBTED = frozenset("aside dialog fieldset footer form header menu nav".split())
 DROPPED_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search tablist toolbar".split()
 )
 DROPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification|alert|popup"
+    r"(?:^|[_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification|alert|popup"
     r"|modal|overlay|newsletter|subscribe|subscription|sidebar|side|widget|comments?|commentlist|disqus|replies|reply|respond"
     r"|share|sharing|social|related|recommend\w*|outbrain|taboola|breadcrumbs?|menu|nav|navbar|navigation|header|footer"
-    r"|masthead|copyright|legal|pager|pagination|login|signup|search|toolbar|skip|hidden)(?:$|[\s_-])",
+    r"|masthead|copyright|legal|pager|pagination|login|signup|search|toolbar|skip|hidden)(?:$|[_-])",
     re.IGNORECASE,
 )
+#: These say what a page has or lacks, or how it is laid out, not what the element is.
+LAYOUT_NAMES = re.compile(
+    r"^(?:no|not|non|without|has|have|with)[_-]|(?:^|[_-])layout(?:$|[_-])|(?:^|[_-])content[_-]sidebar(?:$|[_-])"
+    r"|(?:^|[_-])sidebar[_-]content(?:$|[_-])",
+    re.IGNORECASE,
+)
+#: Text of readers and hidden text may be longer than the article.
+NEVER_BY_LENGTH = re.compile(r"(?:^|[_-])(?:comments?|commentlist|disqus|replies|reply|respond|hidden)(?:$|[_-])", re.IGNORECASE)
 #: The class names of these say something about the page, not about a part of it.
 WHOLE = frozenset("html body article main".split())
 #: An open element of a key's set is closed when the key starts, if it stands above the key's stopping elements.
@@ -53,10 +64,11 @@ UNCLOSED = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 
 
 class Node:
-    __slots__ = ("children", "drop", "parent", "tag")
+    __slots__ = ("by_length", "children", "doubted", "drop", "parent", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False) -> None:
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubted: bool = False, by_length: bool = True) -> None:
         self.tag, self.parent, self.drop = tag, parent, drop
+        self.doubted, self.by_length = doubted, by_length
         self.children: list[Node | str] = []
 
 
@@ -85,20 +97,22 @@ class TreeBuilder(HTMLParser):
             self._close_to(*ENDS[tag])
         parent = self.open[-1]
         drop = parent.drop or tag in DROPPED
+        doubted, by_length = tag in DOUBTED, True
         inside = any(n.tag in ("article", "main") for n in self.open) if tag == "header" or attrs else False
-        if not drop and tag == "header":
-            drop = not inside
+        if tag == "header":
+            doubted = not inside
         if not drop and attrs and tag not in WHOLE:
             for name, value in attrs:
                 value = value or ""
                 if name in ("class", "id"):
-                    found = DROPPED_NAMES.search(value)
-                    drop = drop or bool(found) and not (inside and "header" in value.lower())
+                    found = [t for t in value.split() if DROPPED_NAMES.search(t) and not LAYOUT_NAMES.search(t)]
+                    doubted = doubted or bool(found) and not (inside and "header" in value.lower())
+                    by_length = by_length and not any(NEVER_BY_LENGTH.search(t) for t in found)
                 elif name == "role":
-                    drop = drop or value.strip().lower() in DROPPED_ROLES
+                    doubted = doubted or value.strip().lower() in DROPPED_ROLES
                 elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-                    drop = True
-        node = Node(tag, parent, drop)
+                    doubted, by_length = True, False
+        node = Node(tag, parent, drop, doubted, by_length)
         parent.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
@@ -116,6 +130,67 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append(data)
 
 
+def spare(nodes: list[Node]) -> None:
+    """Drop the doubted elements, but not those that hold the page's article.
+
+    While no article or main element with text stands outside the doubted elements, the outermost one with the most such text
+    is spared, and those inside it are doubted in turn. On a page without such elements it is spared if it holds most of
+    the page's points (commas and length of text outside links), at least those of a short paragraph. Elements of readers'
+    comments and hidden ones are not spared for their length, and for an article only if no other doubted element holds one.
+    """
+    if not any(n.doubted and not n.drop for n in nodes):
+        return
+    index = {id(n): k for k, n in enumerate(nodes)}
+    count = len(nodes)
+    points, whole, link = [0.0] * count, [0.0] * count, [False] * count
+    outer = [-1] * count  # the doubted element nearest above
+    below: dict[int, list[int]] = {}
+    in_article = [False] * count
+    for k, node in enumerate(nodes):
+        up = index[id(node.parent)] if node.parent is not None else -1
+        if up >= 0:
+            link[k] = link[up]
+            outer[k] = up if nodes[up].doubted else outer[up]
+            in_article[k] = in_article[up]
+        link[k] = link[k] or node.tag == "a"
+        in_article[k] = in_article[k] or node.tag in ("article", "main")
+        if node.doubted and not node.drop:
+            below.setdefault(outer[k], []).append(k)
+        if not node.drop and not link[k]:
+            texts = [c for c in node.children if isinstance(c, str)]
+            points[k] = sum(t.count(",") for t in texts) + sum(len(t.strip()) for t in texts) / 100.0
+            whole[k] = points[k] if in_article[k] else 0.0
+    clean = any(whole[k] and outer[k] < 0 and not node.doubted for k, node in enumerate(nodes))
+    # Article text by the doubted element nearest above: sparing that element makes it clean.
+    direct: dict[int, float] = {}
+    for k, node in enumerate(nodes):
+        owner = k if node.doubted else outer[k]
+        direct[owner] = direct.get(owner, 0.0) + whole[k]
+    for k in range(count - 1, 0, -1):
+        up = index[id(nodes[k].parent)]
+        points[up] += points[k]
+        whole[up] += whole[k]
+    spared: set[int] = set()
+    outermost = list(below.get(-1, ()))
+    while not clean and outermost:
+        if whole[0]:
+            chosen = max(outermost, key=lambda k: (whole[k] > 0 and nodes[k].by_length, whole[k], -k))
+            good = whole[chosen] > 0
+        else:
+            able = [k for k in outermost if nodes[k].by_length]
+            chosen = max(able, key=lambda k: (points[k], -k), default=-1)
+            good = chosen >= 0 and points[chosen] >= 1.0 and points[chosen] > points[0] / 2
+        if not good:
+            break
+        spared.add(chosen)
+        outermost.remove(chosen)
+        outermost += below.get(chosen, ())
+        clean = direct.get(chosen, 0.0) > 0
+    for k, node in enumerate(nodes):
+        above = node.parent is not None and node.parent.drop
+        node.drop = node.drop or above or node.doubted and k not in spared
+
+
 def best_container(nodes: list[Node]) -> list[Node]:
     """The kept elements in page order: the best container (an article element around it, if there is one) and
     siblings."""
@@ -214,6 +289,7 @@ def main_text(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(UNCLOSED.sub("", html))
     builder.close()
+    spare(builder.nodes)
     return "\n".join(block_texts(best_container(builder.nodes)))
 
 
