@@ -78,3 +78,11 @@ def test_balanced_by_cost():
     cost = [sum(n + n * n / 1024 for _, n in s) for s in full]
     assert len(full) == sum(n for _, n in rests) // 1024
     assert max(cost) - min(cost) < 1024
+
+
+def test_added_tokens_have_the_ids_of_the_tokenizer(tokenizer):
+    parts = packing.PartIds(*tokenizer_files())
+    end = "<|endoftext|>"
+    for text in (f"a {end} b", end, f"{end}{end}", f"x{end}y", f"  {end}  z", f"a\n{end}\n", "<|endoftext|", f"it's{end}'s {end}"):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert parts.ids(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)

@@ -7,7 +7,8 @@ exactly as many open sequences as its rests fill, and what is left over (less th
 powers of two, which need no padding either.
 
 Tokens: byte-level BPE. Text is split at single spaces (a token never crosses one) and each part is looked up in a
-bounded cache of encoded parts; the ids equal those of the ``tokenizers`` file of the same vocabulary.
+bounded cache of encoded parts; the ids equal those of the ``tokenizers`` file of the same vocabulary. That file's added tokens
+are one id wherever a text spells them out.
 """
 
 from __future__ import annotations
@@ -31,10 +32,14 @@ CACHED_PARTS = 400_000
 class PartIds(dict):
     """Text part to its ids as little-endian unsigned 32-bit bytes; starts anew when it is full."""
 
-    def __init__(self, ranks: bytes, pattern: str) -> None:
+    def __init__(self, ranks: bytes, pattern: str, added: dict[str, int] | None = None) -> None:
         super().__init__()
         import tiktoken
 
+        self.added = {token: struct.pack("<I", number) for token, number in (added or {}).items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.split_added = re.compile(f"({'|'.join(map(re.escape, longest))})").split if longest else None
+
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.encoding = tiktoken.Encoding(
             "bpe", pat_str=pattern, mergeable_ranks={base64.b64decode(t): int(i) for t, i in pairs}, special_tokens={}
@@ -53,6 +58,14 @@ class PartIds(dict):
         return out
 
     def ids(self, text: str) -> bytes:
+        if self.split_added:
+            plain, *rest = self.split_added(text)
+            if rest:  # added tokens and plain texts in turn
+                pieces = [self.added[t] if k % 2 == 0 else self.plain(t) for k, t in enumerate(rest)]
+                return b"".join([self.plain(plain), *pieces])
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
         if self.odd(text):
             return self.whole(text)
         first, *rest = text.split(" ")
@@ -115,14 +128,15 @@ def deal(rests: list[tuple[int, int]], length: int, linear: float, quadratic: fl
 
 
 def pack(
-    docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", length: int = 1024,
+    docs: DataFrame, ranks: bytes, pattern: str, added: dict[str, int] | None = None, id_col: str = "doc_id", text_col: str = "text", length: int = 1024,
     end_id: int = 0, window_tokens: int = 4_000_000, linear: float = 1.0, quadratic: float = 1.0 / 1024,
 ) -> DataFrame:
     """Pieces: the id, ``start`` (ids of the document before it), ``length``, ``ids`` (little-endian unsigned 32 bits),
     ``doc_tokens`` (with ``end_id``), ``sequence_id``, ``offset`` in the sequence.
 
     A NULL or empty text is the end id alone. A NULL id stays NULL; repeated rows are packed once each. Other columns are
-    not read, so their names cannot clash. An empty table has no pieces. ``ranks`` is the content of a rank file.
+    not read, so their names cannot clash. An empty table has no pieces. ``ranks`` is the content of a rank file, ``added`` the
+    id of each added token.
     """
     source = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
@@ -135,7 +149,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        parts = process_cache("part_ids", lambda: PartIds(ranks, pattern))
+        parts = process_cache("part_ids", lambda: PartIds(ranks, pattern, added))
         next_id = TaskContext.get().partitionId() << 40
         names, blobs, held = [], [], 0
         id_type = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from pathlib import Path
 
@@ -31,11 +32,13 @@ SITE_RULES = (
 )
 
 
-def tokenizer_files() -> tuple[bytes, str]:
-    """Ranks and split pattern of the public 50k byte-level vocabulary; the installed package knows their place."""
+def tokenizer_files() -> tuple[bytes, str, dict[str, int]]:
+    """Ranks, split pattern and added tokens of the public 50k byte-level vocabulary; the installed package knows their place."""
     import public_tokenizers
 
-    return Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes(), public_tokenizers.PATTERN
+    listed = json.loads(Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8"))["added_tokens"]
+    ranks = Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
+    return ranks, public_tokenizers.PATTERN, {t["content"]: t["id"] for t in listed}
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
