@@ -81,3 +81,34 @@ def test_small_documents_hold_none_of_what_was_found(spark):
         assert not old & {v for _, _, _, v in privacy.find_entities(r["text"])}
         if not r["n_entities"]:
             assert r["text"] == before[r["doc_id"]]
+
+
+def test_what_is_checked_is_what_is_written():
+    mentions = ["+1 (017) 555-7713", "+1 830 555 1234", "+49 30 901820", "+49 (30) 901820", "+358 40 123 4567", "(017) 555-7713", "017-555-7713"]
+    for mention in mentions:
+        (_, _, kind, value), = privacy.find_entities(f"see {mention} there")
+        for attempt in range(20):
+            new = privacy.surrogate(KEY, kind, value, attempt)
+            written = privacy.dress(kind, mention, new)
+            assert privacy.find_entities(f"see {written} there") == [(4, 4 + len(written), kind, new)], (mention, written)
+            if mention.startswith("+"):
+                assert written.startswith(mention.split()[0])
+
+
+def test_phones_of_one_country_stay_distinct(spark):
+    """Few digits are left beside the country code, so that many draws meet."""
+    import pytest
+
+    rows = [(k, f"call +49 30 {k:02d}") for k in range(60)] + [(k, f"call +358 {k:03d} 12") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [r["text"] for r in privacy.pseudonymise(docs, KEY).collect()]
+    assert len(set(texts)) == len(rows) and not set(texts) & {t for _, t in rows}
+    crowded = spark.createDataFrame([(k, f"call +358 {k:02d} 1{k % 10}") for k in range(100)], "doc_id long, text string")
+    with pytest.raises(RuntimeError, match="phone"):
+        privacy.assign_exceptions(crowded, "text", KEY, rounds=1).count()
+
+
+def test_a_private_range_that_is_used_up_gives_way():
+    taken = {privacy.surrogate(KEY, "ipv4", "192.168.1.7", attempt).split(".")[0] for attempt in range(24)}
+    assert taken == {"192", "172", "10"}
+    assert privacy.surrogate(KEY, "secret", "********", privacy.WIDER) != "********"

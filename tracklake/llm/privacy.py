@@ -2,7 +2,7 @@
 
 An entity's surrogate is drawn from a keyed hash of (kind, canonical value, attempt), so every task computes it alone and all
 mentions in all documents agree. Two checks keep entities apart over the whole corpus: a surrogate must belong to one entity
-only, and must not be an entity that occurs. Entities that fail take their next attempt. As failures are rare, only they
+only, and must not be an entity that occurs. Entities that fail take their next attempt until none fails. As failures are rare, only they
 are stored and looked up: they travel with the second pass while they are few (``exception_limit``, counted first), else they
 are joined to the texts that need them. Plain text is never shuffled.
 
@@ -70,6 +70,12 @@ PATTERNS = (
 TITLED = re.compile(rf"(?<!\w)({_TITLES})\.?[ \t]+(?=[^\W\d_])")
 WORDS = re.compile(rf"{_WORD}(?: {_WORD}){{0,2}}")
 GIVEN_FIRST = re.compile(rf"(?<!\w)({'|'.join(sorted(map(re.escape, GIVEN), key=len, reverse=True))}) ({_WORD})(?!\w)")
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 "
+    "93 94 95 98".split()
+)
+#: Attempts after which a kind whose own space may be used up draws from a larger one.
+WIDER = 8
 #: Texts without any of these hold nothing to find but names.
 HINT = re.compile(r"[0-9@=:]")
 
@@ -89,6 +95,12 @@ def _proper(word: str) -> bool:
     return word[:1].isupper() and len(word) > 1
 
 
+def country_code(digits: str) -> str:
+    """The calling code that international digits start with; no code starts another one."""
+    size = 1 if digits[:1] in ("1", "7") else 2 if digits[:2] in TWO_DIGIT_CODES else 3
+    return digits[:size]
+
+
 def find_entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of all entities, in order, without overlaps.
 
@@ -102,7 +114,9 @@ def find_entities(text: str | None) -> list[tuple[int, int, str, str]]:
             group = pattern.groups
             for m in pattern.finditer(text):
                 start, end = m.span(group)
-                if kind in ("card", "phone", "iban"):
+                if kind == "phone" and m.group().startswith("+"):
+                    canonical = "+" + re.sub(r"\D", "", m.group())
+                elif kind in ("card", "phone", "iban"):
                     canonical = re.sub(r"[^0-9A-Za-z]", "", m.group(group))
                 else:
                     canonical = m.group(group) if kind == "secret" else m.group(group).lower()
@@ -178,12 +192,13 @@ def luhn(digits: str) -> int:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """Canonical surrogate of a canonical value."""
+    """Canonical surrogate of a canonical value: as it is found again in the written text, so what is checked is what is written."""
     draw = Draw(key, kind, value, attempt)
+    wider = attempt // WIDER
     if kind == "email":
         local, _, domain = value.partition("@")
         top = domain.rpartition(".")[2]
-        return f"{draw.like(local)}@{draw.like(domain.split('.')[0])}.example.{top if top in ('com', 'org', 'net') else 'com'}"
+        return f"{draw.like(local + 'a' * wider)}@{draw.like(domain.split('.')[0])}.example.{top if top in ('com', 'org', 'net') else 'com'}"
     if kind == "card":
         body = value[0] + draw.like(value[1:])
         if luhn(value) == 0:
@@ -196,25 +211,31 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "ipv4":
         a, b, *_ = (int(x) for x in value.split("."))
         rest = f"{draw.below(256)}.{1 + draw.below(254)}"
-        if a == 10:
+        private = 0 if (a, b) == (192, 168) else 1 if a == 172 and 16 <= b < 32 else 2 if a == 10 else None
+        if private is not None:  # a range that is used up gives way to the next larger private one
+            private = min(2, private + wider)
+        if private == 2:
             return f"10.{draw.below(256)}.{rest}"
-        if (a, b) == (192, 168):
+        if private == 0:
             return f"192.168.{rest}"
-        if a == 172 and 16 <= b < 32:
+        if private == 1:
             return f"172.{16 + draw.below(16)}.{rest}"
         return f"{(11 + draw.below(80), 101 + draw.below(60))[draw.below(2)]}.{draw.below(256)}.{rest}"
     if kind in ("ipv6", "mac"):
         return draw.like(value, hexadecimal=True)
     if kind == "ssn":
         return f"{1 + draw.below(665):03d}-{1 + draw.below(99):02d}-{1 + draw.below(9999):04d}"
-    if kind == "phone":
-        return draw.like(value)
+    if kind == "phone":  # the country code says no more than the script would
+        code = f"+{country_code(value[1:])}" if value[0] == "+" else ""
+        return code + draw.like(value[len(code) :])
     if kind == "secret":
+        if wider:  # hardly any letters or digits to draw
+            value = "".join(c if c.isalnum() and c.isascii() else "a" for c in value) + "a" * (wider - 1)
         return draw.like(value, hexadecimal=not re.search(r"[g-zG-Z]", value))
     script, part = script_of(value), kind.removeprefix("first_")
     names = NAMES.get((script, part))
     if names is None:  # a script without lists: characters near the ones there
-        return "".join(chr(ord(c) + 1 + draw.below(3)) for c in value)
+        return "".join(chr(ord(c) + 1 + draw.below(3)) for c in value + value[-1] * (attempt // 4))
     name = names[draw.below(len(names))].lower()
     for _ in range(attempt // 4):  # a list used up: double names, then longer ones
         name += f"-{names[draw.below(len(names))].lower()}"
@@ -224,12 +245,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
 def dress(kind: str, mention: str, new: str) -> str:
     """A canonical surrogate in the format of one mention: its separators and its case."""
     if kind in ("card", "phone", "iban"):
-        fresh_chars = iter(new)
-        out = "".join(next(fresh_chars) if c.isalnum() else c for c in mention)
-        if kind == "phone" and mention.startswith("+"):  # the country code says no more than the script would
-            code = re.match(r"\+\d{1,3}(?=[ .(-])", mention)
-            out = code.group() + out[code.end() :] if code else out
-        return out
+        fresh_chars = iter(new.removeprefix("+"))
+        return "".join(next(fresh_chars) if c.isalnum() else c for c in mention)
     if kind == "secret":
         return new
     if kind.startswith("first_") or kind == "last":
@@ -251,11 +268,12 @@ def replace_in(
     return "".join(out) + text[at:], [(s, e, k) for s, e, k, _ in spans]
 
 
-def assign_exceptions(docs: DataFrame, text_col: str, key: bytes, rounds: int = 40) -> DataFrame:
+def assign_exceptions(docs: DataFrame, text_col: str, key: bytes, rounds: int = 200) -> DataFrame:
     """``kind``, ``value``, ``attempt`` of all entities whose first surrogate is taken by another entity or occurs itself.
 
     Each round checks all entities against all: the owner of a surrogate is the entity settled earlier, then the smaller
-    one; every other claimant, and whoever drew a value that occurs in the corpus, tries its next attempt.
+    one; every other claimant, and whoever drew a value that occurs in the corpus, tries its next attempt. Conflicting surrogates are
+    never returned: if some are left after ``rounds`` (a kind with more entities than its widest space can bear), it is an error.
     """
     source = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
 
@@ -286,8 +304,9 @@ def assign_exceptions(docs: DataFrame, text_col: str, key: bytes, rounds: int =
         after = stored(after, "attempts")
         state = after.select("kind", "value", "attempt")
         if after.where("lost").isEmpty():
-            break
-    return state.where("attempt > 0")
+            return state.where("attempt > 0")
+    left = {r["kind"]: r["count"] for r in after.where("lost").groupBy("kind").count().collect()}
+    raise RuntimeError(f"surrogates still in conflict after {rounds} rounds, by kind: {left}")
 
 
 def pseudonymise(
