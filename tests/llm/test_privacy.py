@@ -84,7 +84,8 @@ def test_small_documents_hold_none_of_what_was_found(spark):
 
 
 def test_what_is_checked_is_what_is_written():
-    mentions = ["+1 (017) 555-7713", "+1 830 555 1234", "+49 30 901820", "+49 (30) 901820", "+358 40 123 4567", "(017) 555-7713", "017-555-7713"]
+    mentions = ["+1 (017) 555-7713", "+1 830 555 1234", "+49 30 901820", "+49 (30) 901820", "+358 40 123 4567", "(017) 555-7713", "017-555-7713",
+                "fe80::1", "FE80::1FF:FE23:4567:890A", "2001:db8::1", "::1", "::ffff:10.1.2.3", "fd12:3456::7", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"]
     for mention in mentions:
         (_, _, kind, value), = privacy.find_entities(f"see {mention} there")
         for attempt in range(20):
@@ -95,6 +96,14 @@ def test_what_is_checked_is_what_is_written():
                 assert written.startswith(mention.split()[0])
 
 
+def test_short_forms_of_ipv6_are_one_entity():
+    for short, full in (("fe80::1", "fe80:0:0:0:0:0:0:1"), ("2001:DB8::1", "2001:db8:0:0:0:0:0:1"), ("::1", "0:0:0:0:0:0:0:1")):
+        values = [privacy.find_entities(f"from {x}: up, ip:{x}.")[k][2:] for x in (short, full) for k in (0, 1)]
+        assert len(set(values)) == 1 and values[0][0] == "ipv6", short
+    for text in ("std::vector", "a :: b", "at 12:30:45 or 12:30:45:10", "f(x)::y", "1:2:3:4:5:6:7:8:9", "::"):
+        assert not [e for e in privacy.find_entities(text) if e[2] == "ipv6"], text
+
+
 def test_phones_of_one_country_stay_distinct(spark):
     """Few digits are left beside the country code, so that many draws meet."""
     import pytest

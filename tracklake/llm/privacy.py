@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -60,7 +61,7 @@ PATTERNS = (
     ("email", re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("mac", re.compile(r"(?<![\w:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\w:-])")),
-    ("ipv6", re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4}){1,4}(?![\w:])")),
+    ("ipv6", re.compile(r"(?:(?<![\w:.])|(?<=[G-Zg-z]:))(?=[0-9A-Fa-f:]*:[0-9A-Fa-f]*:)[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,8}(?:(?:\.\d{1,3}){3})?(?![\w:]|\.\d)")),
     ("ipv4", re.compile(r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}(?!\w|\.\d)")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("card", re.compile(r"(?<![\w.-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])")),
@@ -95,6 +96,16 @@ def _proper(word: str) -> bool:
     return word[:1].isupper() and len(word) > 1
 
 
+def ipv6(mention: str) -> str | None:
+    """The eight full groups of an address in any of its forms; None for other text and for '::', which is no one's address."""
+    if mention == "::":
+        return None
+    try:
+        return ipaddress.IPv6Address(mention).exploded
+    except ValueError:
+        return None
+
+
 def country_code(digits: str) -> str:
     """The calling code that international digits start with; no code starts another one."""
     size = 1 if digits[:1] in ("1", "7") else 2 if digits[:2] in TWO_DIGIT_CODES else 3
@@ -114,7 +125,14 @@ def find_entities(text: str | None) -> list[tuple[int, int, str, str]]:
             group = pattern.groups
             for m in pattern.finditer(text):
                 start, end = m.span(group)
-                if kind == "phone" and m.group().startswith("+"):
+                if kind == "ipv6":
+                    mention = m.group()
+                    if mention.endswith(":") and not mention.endswith("::"):  # a colon of the sentence
+                        mention, end = mention[:-1], end - 1
+                    canonical = ipv6(mention)
+                    if canonical is None:
+                        continue
+                elif kind == "phone" and m.group().startswith("+"):
                     canonical = "+" + re.sub(r"\D", "", m.group())
                 elif kind in ("card", "phone", "iban"):
                     canonical = re.sub(r"[^0-9A-Za-z]", "", m.group(group))
@@ -221,7 +239,12 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         if private == 1:
             return f"172.{16 + draw.below(16)}.{rest}"
         return f"{(11 + draw.below(80), 101 + draw.below(60))[draw.below(2)]}.{draw.below(256)}.{rest}"
-    if kind in ("ipv6", "mac"):
+    if kind == "ipv6":  # link-local and unique local addresses stay such, others move to the range of documentation
+        old = ipaddress.IPv6Address(value)
+        head, bits = (0xFE80 << 112, 64) if old.is_link_local else (0xFD << 120, 120) if value[:2] in ("fc", "fd") else (0x20010DB8 << 96, 96)
+        # The top bit of the drawn part is set, so that the written form is never shorter than its own kind of address.
+        return ipaddress.IPv6Address(head | 1 << (bits - 1) | draw.below(1 << (bits - 1))).exploded
+    if kind == "mac":
         return draw.like(value, hexadecimal=True)
     if kind == "ssn":
         return f"{1 + draw.below(665):03d}-{1 + draw.below(99):02d}-{1 + draw.below(9999):04d}"
@@ -247,11 +270,16 @@ def dress(kind: str, mention: str, new: str) -> str:
     if kind in ("card", "phone", "iban"):
         fresh_chars = iter(new.removeprefix("+"))
         return "".join(next(fresh_chars) if c.isalnum() else c for c in mention)
+    if kind == "ipv6":
+        groups = mention.split(":")
+        full = "::" not in mention and all(len(g) == 4 for g in groups)
+        short = new if full else str(ipaddress.IPv6Address(new))
+        return short.upper() if mention.isupper() else short
     if kind == "secret":
         return new
     if kind.startswith("first_") or kind == "last":
         return new.upper() if mention.isupper() else "-".join(p[:1].upper() + p[1:] for p in new.split("-"))
-    return new.upper() if mention.isupper() and kind in ("mac", "ipv6", "email") else new
+    return new.upper() if mention.isupper() and kind in ("mac", "email") else new
 
 
 def replace_in(
