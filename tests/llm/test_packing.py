@@ -86,3 +86,12 @@ def test_added_tokens_have_the_ids_of_the_tokenizer(tokenizer):
     for text in (f"a {end} b", end, f"{end}{end}", f"x{end}y", f"  {end}  z", f"a\n{end}\n", "<|endoftext|", f"it's{end}'s {end}"):
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert parts.ids(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
+
+
+def test_cut_only_if_no_sequence_has_room():
+    # Twenty sequences of three rests of 300 are cheaper than the two of 700, but only those have room for the last of 300.
+    rests = [(k, n) for k, n in enumerate([700] * 2 + [300] * 62 + [24] * 105 + [8])]
+    placed = packing.deal(rests, 1024, 1.0, 1 / 1024)
+    pieces = [doc for s in placed for doc, _ in s if rests[doc][1] >= 300]
+    assert len(pieces) == len(set(pieces)) == 64
+    assert all(sum(n for _, n in s) == 1024 for s in placed)

@@ -2,7 +2,7 @@
 
 A piece of n tokens costs ``linear * n + quadratic * n**2`` (attention inside a piece). Every task packs what it scans, so
 nothing is shuffled: documents are cut into full sequences first; the rests go, longest first, to the cheapest
-sequence with remaining capacity. A rest that fits into none of the cheapest few is cut. A window of documents gets
+sequence with remaining capacity. A rest is cut only if no open sequence has room for it. A window of documents gets
 exactly as many open sequences as its rests fill, and what is left over (less than one sequence a window) becomes sequences of
 powers of two, which need no padding either.
 
@@ -72,38 +72,70 @@ class PartIds(dict):
         return self[first] + b"".join([self[" " + part] for part in rest])
 
 
-def deal(rests: list[tuple[int, int]], length: int, linear: float, quadratic: float, looks: int = 16) -> list[list[tuple]]:
+class OpenSequences:
+    """Open sequences by room: a heap of (cost, sequence) for each room, and the least of every range of rooms in a tree."""
+
+    NONE = (float("inf"), -1)
+
+    def __init__(self, length: int) -> None:
+        self.width = 1 << length.bit_length()
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(length + 1)]
+        self.least = [self.NONE] * (2 * self.width)
+
+    def _renew(self, room: int) -> None:
+        k = self.width + room
+        self.least[k] = self.heaps[room][0] if self.heaps[room] else self.NONE
+        while k > 1:
+            k //= 2
+            self.least[k] = min(self.least[2 * k], self.least[2 * k + 1])
+
+    def put(self, cost: float, j: int, room: int) -> None:
+        heapq.heappush(self.heaps[room], (cost, j))
+        self._renew(room)
+
+    def cheapest(self, n: int) -> tuple[float, int]:
+        """The cheapest with room for ``n`` tokens, NONE if no sequence has it."""
+        best, low, high = self.NONE, self.width + n, 2 * self.width
+        while low < high:
+            if low & 1:
+                best = min(best, self.least[low])
+                low += 1
+            low, high = low // 2, high // 2
+        return best
+
+    def take(self, room: int) -> None:
+        """Remove the cheapest of those with this room."""
+        heapq.heappop(self.heaps[room])
+        self._renew(room)
+
+
+def deal(rests: list[tuple[int, int]], length: int, linear: float, quadratic: float) -> list[list[tuple]]:
     """Sequences as lists of (document, tokens). ``rests``: (document, tokens), each shorter than ``length``.
 
-    Longest first, each to the cheapest open sequence with room for it. If none of the ``looks`` cheapest has room, the
-    cheapest of all is filled and the remainder queues again.
+    Longest first, each to the cheapest open sequence with room for it. Only if none has room, the cheapest of all is filled
+    and the remainder queues again.
     """
     total = sum(n for _, n in rests)
     count = total // length
     queue = [(-n, k, doc) for k, (doc, n) in enumerate(rests)]
     heapq.heapify(queue)
-    open_ = [(0.0, j) for j in range(count)]
+    open_ = OpenSequences(length)
+    for j in range(count):
+        open_.put(0.0, j, length)
     room, placed = [length] * count, [[] for _ in range(count)]
     serial = len(rests)
-    while open_ and queue:
+    while queue and open_.cheapest(1)[1] >= 0:
         n, k, doc = heapq.heappop(queue)
         n = -n
-        seen = []
-        while open_ and len(seen) < looks:
-            seen.append(heapq.heappop(open_))
-            if room[seen[-1][1]] >= n:
-                break
-        cost, j = seen[-1]
-        if room[j] < n:
-            cost, j = seen[0]
+        cost, j = open_.cheapest(n)
+        if j < 0:
+            cost, j = open_.cheapest(1)
+        open_.take(room[j])
         take = min(n, room[j])
         placed[j].append((doc, take))
         room[j] -= take
-        for other in seen:
-            if other[1] != j:
-                heapq.heappush(open_, other)
         if room[j]:
-            heapq.heappush(open_, (cost + linear * take + quadratic * take * take, j))
+            open_.put(cost + linear * take + quadratic * take * take, j, room[j])
         if take < n:
             heapq.heappush(queue, (take - n, serial, doc))
             serial += 1
