@@ -1,4 +1,4 @@
-"""The thin queries over the ten operators; their contracts fix the columns they return."""
+"""The thin queries over the operators; their contracts fix the columns they return."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tracklake.llm import (
     decontaminate,
     html_text,
+    lexical,
     packing,
     privacy,
     quality,
@@ -113,6 +114,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -124,4 +130,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
+    "op11_lexical": op11_lexical,
 }
