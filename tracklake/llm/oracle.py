@@ -122,10 +122,50 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM s QUALIFY rank <= 50
 """
 
+OP12 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+), runs AS (
+  SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w
+    FROM documents) WHERE length(w) >= 7 GROUP BY doc_id, w
+), h AS (
+  SELECT w, n, xor(4294967295, list_reduce(
+    list_transform(range(1, length(x), 2), lambda i: 16 * (strpos('0123456789ABCDEF', x[i]) - 1) + strpos('0123456789ABCDEF', x[i + 1]) - 1),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) AS h
+  FROM (SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM runs), crc
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN w[1:(h % length(w))] || w[(h % length(w)) + 2:] ELSE w END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, n, i, word[1:i - 1] AS p, word[i + 1:] AS s FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+), near AS (
+  SELECT DISTINCT word, other, other_n FROM (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.p = b.p AND a.s = b.s AND a.word <> b.word
+    UNION ALL SELECT a.word, v.word, v.n FROM cut a JOIN v ON a.p || a.s = v.word
+    UNION ALL SELECT v.word, a.word, a.n FROM cut a JOIN v ON a.p || a.s = v.word)
+), f AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, encode(other))) AS form, max(other_n) AS form_n FROM near GROUP BY word
+), formed AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+         CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM v LEFT JOIN f USING (word)
+), chain AS (
+  SELECT word, word AS tail FROM formed
+  UNION ALL SELECT c.word, g.form FROM chain c JOIN formed g ON g.word = c.tail WHERE g.form IS NOT NULL
+)
+SELECT word, formed.form, tail AS root, n, n_near, form_n
+FROM formed JOIN (SELECT c.word, c.tail FROM chain c JOIN formed g ON g.word = c.tail WHERE g.form IS NULL) USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2,
     "op3_vectors": OP3,
     "op4_url_filter": OP4,
     "op6_substrings": OP6,
     "op11_lexical": OP11,
+    "op12_spelling": OP12,
 }

@@ -17,6 +17,7 @@ from tracklake.llm import (
     privacy,
     quality,
     simhash,
+    spelling,
     substrings,
     suffixes,
     urlfilter,
@@ -119,6 +120,11 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, some runs with a code point left out."""
+    return spelling.group_variants(spelling.word_counts(read(spark, sf_dir, "documents"), slip=31))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -131,4 +137,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffixes": op9_suffixes,
     "op10_quality": op10_quality,
     "op11_lexical": op11_lexical,
+    "op12_spelling": op12_spelling,
 }
