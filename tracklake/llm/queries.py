@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tracklake.llm import (
     decontaminate,
     html_text,
+    language,
     lexical,
     packing,
     privacy,
@@ -125,6 +126,14 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.word_counts(read(spark, sf_dir, "documents"), slip=31))
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the documents outside the held-out third."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit_language(docs.where(~language.held_out("doc_id")))
+    found = language.predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -138,4 +147,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_lexical": op11_lexical,
     "op12_spelling": op12_spelling,
+    "op13_language": op13_language,
 }
