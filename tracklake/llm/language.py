@@ -141,9 +141,12 @@ def _sample(
     Of a repeated id one text counts, the smallest.
     """
     ids = docs.select(F.xxhash64(f"`{id_col}`").alias("at"), F.col(f"`{lang_col}`").cast("string").alias("lang")).dropna()
-    common = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang")
-    order = Window.partitionBy("lang").orderBy("at")
-    picked = ids.join(F.broadcast(common), "lang").distinct().withColumn("place", F.row_number().over(order))
+    size = ids.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("at").alias("ids"))
+    common = size.orderBy(F.desc("rows"), "lang").limit(languages)
+    # Hashes are spread evenly: a few times the ids wanted are left of each language, whatever its size, and ranked.
+    share = F.pmod("at", F.lit(1 << 31)) / float(1 << 31)
+    few = ids.join(F.broadcast(common), "lang").where(share * F.col("ids") < 8 * texts).select("lang", "at").distinct()
+    picked = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("at")))
     picked = picked.where(F.col("place") <= texts)  # decided on two narrow columns; texts are read for these rows only
     found = docs.select(
         F.xxhash64(f"`{id_col}`").alias("at"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
