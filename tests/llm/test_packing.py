@@ -95,3 +95,39 @@ def test_cut_only_if_no_sequence_has_room():
     pieces = [doc for s in placed for doc, _ in s if rests[doc][1] >= 300]
     assert len(pieces) == len(set(pieces)) == 64
     assert all(sum(n for _, n in s) == 1024 for s in placed)
+
+
+def test_two_vocabularies_in_one_session(spark):
+    """Workers are reused: a second vocabulary must not get the ids that the first has cached."""
+    ranks, pattern, added = tokenizer_files()
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+
+    def size(added):
+        return packing.pack(docs, ranks, pattern, added).collect()[0]["doc_tokens"]
+
+    assert [size(added), size({}), size({"a ": 7}), size(added)] == [5, 10, 10, 5]
+
+
+def test_deal_is_a_plain_least_cost_loop():
+    import random
+
+    for seed in range(20):
+        rng = random.Random(seed)
+        rests = [(k, rng.randint(1, 63)) for k in range(rng.randint(1, 120))]
+        placed = packing.deal(rests, 64, 1.0, 1 / 64)
+        count = sum(n for _, n in rests) // 64
+        room, cost, plain = [64] * count, [0.0] * count, [[] for _ in range(count)]
+        queue = sorted(((-n, k, doc) for k, (doc, n) in enumerate(rests)))
+        serial = len(rests)
+        while queue and any(room):
+            n, _, doc = queue.pop(0)
+            fits = [j for j in range(count) if room[j] >= -n] or [j for j in range(count) if room[j]]
+            j = min(fits, key=lambda j: (cost[j], j))
+            take = min(-n, room[j])
+            plain[j].append((doc, take))
+            room[j] -= take
+            cost[j] += take + take * take / 64
+            if take < -n:
+                queue = sorted([*queue, (take + n, serial, doc)])
+                serial += 1
+        assert placed[:count] == plain

@@ -14,6 +14,7 @@ are one id wherever a text spells them out.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import re
 import struct
@@ -30,7 +31,7 @@ CACHED_PARTS = 400_000
 
 
 class PartIds(dict):
-    """Text part to its ids as little-endian unsigned 32-bit bytes; starts anew when it is full."""
+    """What follows a space, to its ids with that space, as little-endian unsigned 32-bit bytes; starts anew when it is full."""
 
     def __init__(self, ranks: bytes, pattern: str, added: dict[str, int] | None = None) -> None:
         super().__init__()
@@ -54,7 +55,7 @@ class PartIds(dict):
     def __missing__(self, part: str) -> bytes:
         if len(self) >= CACHED_PARTS:
             self.clear()
-        out = self[part] = self.whole(part)
+        out = self[part] = self.whole(" " + part)
         return out
 
     def ids(self, text: str) -> bytes:
@@ -69,7 +70,7 @@ class PartIds(dict):
         if self.odd(text):
             return self.whole(text)
         first, *rest = text.split(" ")
-        return self[first] + b"".join([self[" " + part] for part in rest])
+        return self.whole(first) + b"".join(map(self.__getitem__, rest))
 
 
 class OpenSequences:
@@ -177,11 +178,13 @@ def pack(
     ddl = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
     schema = extended(StructType([id_field]), ddl)
     end = end_id.to_bytes(4, "little")
+    # Workers outlive a call: another vocabulary must not meet this one's ids.
+    vocabulary = hashlib.sha256(ranks + repr((pattern, sorted((added or {}).items()))).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        parts = process_cache("part_ids", lambda: PartIds(ranks, pattern, added))
+        parts = process_cache(f"part_ids_{vocabulary}", lambda: PartIds(ranks, pattern, added))
         next_id = TaskContext.get().partitionId() << 40
         names, blobs, held = [], [], 0
         id_type = None
