@@ -89,7 +89,7 @@ def require_unique(updates: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"several updates for one key: {repeated.asDict()}")
 
 
-def _only_partitions_of(target: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
+def only_partitions_of(target: DataFrame, updates: DataFrame, partition: str) -> DataFrame:
     """The part of ``target`` in the partitions ``updates`` falls in, as a filter that prunes folders."""
     # One value per day or bucket, never per row.
     touched = [r[0] for r in updates.select(partition).distinct().collect()]
@@ -114,13 +114,11 @@ def merge_by_key(
     holds the old or the new rows of a partition, never neither for good. Both
     copies are deleted at the end.
     """
-    from ..sinks import delete_path, path_exists, table_exists, write_partitioned
+    from ..sinks import delete_path, table_exists, write_partitioned
 
     spark = updates.sparkSession
-    staged, pending = f"{path.rstrip('/')}__updates", f"{path.rstrip('/')}__pending"
-    if path_exists(spark, f"{pending}/_SUCCESS"):  # a merge that was cut off while it replaced partitions
-        write_partitioned(spark.read.parquet(pending), path, [partition_by], order_by)
-    delete_path(spark, pending)
+    staged = f"{path.rstrip('/')}__updates"
+    finish_swap(spark, path, partition_by, order_by)
     updates.write.mode("overwrite").parquet(staged)
     updates = spark.read.schema(updates.schema).parquet(staged)
     require_unique(updates, keys)
@@ -128,11 +126,43 @@ def merge_by_key(
         target = spark.read.parquet(path)
         # A change of columns rewrites the whole table, so that all files agree.
         if dict(target.dtypes) == dict(updates.dtypes):
-            target = _only_partitions_of(target, updates, partition_by)
-        write_partitioned(merge_rows(target, updates, keys), pending, [partition_by], order_by)
-        merged = spark.read.parquet(pending)
-        write_partitioned(merged.select(*updates.columns), path, [partition_by], order_by)
+            target = only_partitions_of(target, updates, partition_by)
+        swap_partitions(path, merge_rows(target, updates, keys).select(*updates.columns), partition_by, order_by)
     else:
         write_partitioned(updates, path, [partition_by], order_by)
-    delete_path(spark, pending)
     delete_path(spark, staged)
+
+
+def finish_swap(spark, path: str, partition_by: str, order_by: Sequence[str] = ()) -> None:
+    """Repeat the last step of a swap that was cut off while it replaced partitions."""
+    from ..sinks import delete_path, path_exists, write_partitioned
+
+    pending = f"{path.rstrip('/')}__pending"
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        write_partitioned(spark.read.parquet(pending), path, [partition_by], order_by)
+    delete_path(spark, pending)
+
+
+def swap_partitions(path: str, rows: DataFrame, partition_by: str, order_by: Sequence[str] = ()) -> None:
+    """Replace the partitions of ``rows``, which may read the table itself: they are written beside it first."""
+    from ..sinks import write_partitioned
+
+    # Whole, so that the writer's mark says that it is: replacing single partitions leaves none.
+    write_partitioned(rows, f"{path.rstrip('/')}__pending", [partition_by], order_by, replace_all=True)
+    finish_swap(rows.sparkSession, path, partition_by, order_by)
+
+
+def replace_keys(
+    path: str, rows: DataFrame, gone: DataFrame, keys: list[str], partition_by: str, order_by: Sequence[str] = ()
+) -> None:
+    """Splice: all rows of the keys in ``gone`` leave the parquet table at ``path`` and ``rows`` come in; several rows may share a key.
+
+    ``gone`` and ``rows`` hold the partition column, a function of the key. Only the partitions of ``gone`` are read and
+    rewritten, and a splice that was cut off is finished by the next one. A partition is not emptied: of keys that all leave without new rows, the last
+    rows of a partition stay.
+    """
+    spark = rows.sparkSession
+    finish_swap(spark, path, partition_by, order_by)
+    target = only_partitions_of(spark.read.parquet(path), gone, partition_by)
+    kept = join_null_safe(target, gone.select(*keys), keys, "left_anti").select(*rows.columns)
+    swap_partitions(path, kept.unionByName(rows), partition_by, order_by)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators import load_tolerant
 from ..schemas import RAW
-from ..sinks import ensure_table, path_exists
+from ..sinks import ensure_table, path_exists, write_partitioned
 
 # Partition columns of a raw table, and the lake's folders they come from.
 LOADED = {"load_year": "year", "load_month": "month", "load_day": "day", "load_hour": "hour"}
@@ -22,8 +22,9 @@ def raw_schema(event: str) -> T.StructType:
     return T.StructType([*RAW[event].fields, *slots])
 
 
-def _folder(root: str, slot: datetime) -> str:
-    return f"{root.rstrip('/')}/year={slot.year}/month={slot.month}/day={slot.day}/hour={slot.hour}"
+def slot_folder(root: str, slot: datetime, names: Sequence[str] = ("year", "month", "day", "hour")) -> str:
+    values = (slot.year, slot.month, slot.day, slot.hour)
+    return "/".join([root.rstrip("/"), *(f"{n}={v}" for n, v in zip(names, values, strict=True))])
 
 
 def load_hours(
@@ -35,7 +36,7 @@ def load_hours(
     produced whatever the files hold. Loading an hour again replaces it and no other: the year is part of the
     slot. One job loads all the hours.
     """
-    folders = {s: _folder(lake_root, s) for s in slots}
+    folders = {s: slot_folder(lake_root, s) for s in slots}
     there = [s for s in sorted(folders) if path_exists(spark, folders[s])]
     schema = raw_schema(event)
     ensure_table(spark, table, schema, list(LOADED))
@@ -45,8 +46,8 @@ def load_hours(
     slot = {name: F.col(source).cast("int") for name, source in LOADED.items()}
     wide = T.StructType([*RAW[event].fields, *[T.StructField(name, T.LongType()) for name in LOADED]])
     loaded = load_tolerant(rows.withColumns(slot), wide).withColumns({name: F.col(name).cast("int") for name in LOADED})
-    writer = loaded.repartition(*LOADED).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*LOADED).parquet(table)
+    # Gathered by hour; adaptive execution splits an hour that is too big for one task.
+    write_partitioned(loaded, table, list(LOADED))
     return there
 
 

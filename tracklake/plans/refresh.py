@@ -116,7 +116,7 @@ class Tables(Mapping):
         return sum(1 for _ in self)
 
 
-def _placed(df: DataFrame, layout: Layout) -> tuple[DataFrame, str | None]:
+def placed(df: DataFrame, layout: Layout) -> tuple[DataFrame, str | None]:
     """The frame with its partition column, which always follows from the key."""
     if layout.day_of == "activity_date":
         return df, "activity_date"
@@ -157,15 +157,15 @@ def _set_aside(tables: Tables, name: str, raw: DataFrame, mark, lateness: timede
 def store(tables: Tables, name: str, df: DataFrame, merge: bool = False) -> None:
     """Write one model in its layout; ``merge`` upserts where the layout has a key."""
     layout = LAYOUTS.get(name, Layout())
-    placed, partition = _placed(df, layout)
+    laid_out, partition = placed(df, layout)
     if merge and layout.merge_on:
-        merge_by_key(tables.path(name), placed, list(layout.merge_on), partition, layout.cluster_by)
+        merge_by_key(tables.path(name), laid_out, list(layout.merge_on), partition, layout.cluster_by)
     elif partition:
-        write_partitioned(placed, tables.path(name), [partition], layout.cluster_by, replace_all=True)
+        write_partitioned(laid_out, tables.path(name), [partition], layout.cluster_by, replace_all=True)
     elif layout.cluster_by:
-        write_clustered(placed, tables.path(name), layout.cluster_by)
+        write_clustered(laid_out, tables.path(name), layout.cluster_by)
     else:
-        overwrite_table(placed, tables.path(name))
+        overwrite_table(laid_out, tables.path(name))
     tables.forget(name)
 
 

@@ -322,6 +322,18 @@ ORACLE.update(
         "partitioned_clustered_write": over_models("""
             SELECT part, CAST(event_datetime AS DATE) AS event_date, event_datetime, user_id, song, artist, duration
             FROM stg_listen_events, (VALUES ('day'), ('users')) p(part)"""),
+        "dim_users_incremental": over_models("SELECT * FROM dim_users"),
+        "fact_listen_changes": over_models("SELECT * FROM fact_listen_events"),
+        "fact_status_changes": over_models("SELECT * FROM fact_status_change_events"),
+        "arrival_ledger": over_models("""
+            SELECT 'staged' AS part, event_datetime, user_id, prev_level, CAST(1 AS BIGINT) AS rows FROM stg_status_change_events
+            UNION ALL
+            SELECT 'late', date_trunc('hour', epoch_ms(ts)), NULL, NULL, count(*) FROM raw_status
+            WHERE day(epoch_ms(ts)) < 10 AND hour(epoch_ms(ts)) % 6 = 2 GROUP BY ALL"""),
+        "raw_hour_insert": over_models(f"""
+            SELECT ts, userId, old_level AS level, CAST((ts - {CUT_MILLIS}) // 3600000 AS INTEGER) AS load_hour
+            FROM raw_status JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR (ts - {CUT_MILLIS}) // 3600000 = 3
+            WHERE ts >= {CUT_MILLIS} AND ts < {CUT_MILLIS} + 4 * 3600000"""),
         "refresh_users": over_models("SELECT * FROM stg_users"),
         "refresh_fact_listen": over_models("SELECT * FROM fact_listen_events"),
         "refresh_fact_status": over_models("SELECT * FROM fact_status_change_events"),

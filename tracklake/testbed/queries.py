@@ -32,6 +32,8 @@ from ..operators import (
 )
 from ..operators.quality import Check
 from ..plans import core, marts, staging
+from ..plans.advance import advance, advance_from_ledger
+from ..plans.arrivals import late_hours, ledger, load_and_record
 from ..plans.checks import CHECKS
 from ..plans.models import MODELS, Models
 from ..plans.load import load_hour, load_hours, raw_table
@@ -39,7 +41,7 @@ from ..plans.refresh import Tables, refresh
 from ..schemas import LOCATIONS_FEED, RAW, SONGS_FEED, WIRE
 from ..session import scratch_dir
 from ..settings import IngestSettings
-from ..sinks import with_event_date, write_clustered, write_partitioned
+from ..sinks import append_hour, with_event_date, write_clustered, write_partitioned
 from ..sources import (
     csv_with_header,
     delimited_feed,
@@ -635,6 +637,79 @@ def tolerance_match_not_finite(s: Shapes) -> DataFrame:
     return matched.select("event_datetime", "user_id", "song", "artist", F.col("pk_song").isNotNull().alias("matched"))
 
 
+# --- upkeep by arrival ----------------------------------------------------
+
+LATE_HOURS = "day(ts) < 10 AND hour(ts) % 6 = 2"
+
+
+@query
+def dim_users_incremental(s: Shapes) -> DataFrame:
+    """Versions spliced user by user over three arrivals: the first half, the second, and what was held back of both."""
+    root, held = scratch_dir(s.spark, "upkeep"), F.col("userId") % 5 == 0
+    early = F.col("ts") < CUT_MILLIS
+    late = held & (F.col("ts") % 3 == 0)
+    for part in (early & ~late, ~early & ~late, late):
+        arrivals = {n: s[n].where(part) for n in ("status_change_events", "user_info")}
+        tables = advance(s.spark, root, arrivals)
+    return tables["dim_users"]
+
+
+@query
+def fact_listen_changes(s: Shapes) -> DataFrame:
+    """Plays that arrive days late, users that are known later than their plays, and a third of the songs later still."""
+    root, early = scratch_dir(s.spark, "upkeep"), F.col("ts") < CUT_MILLIS
+    late = F.expr(HELD_BACK)
+    songs, some = s["songs"], s["songs"].where("track_id % 3 <> 0")
+    changes, users, plays = s["status_change_events"], s["user_info"], s["listen_events"]
+    advance(s.spark, root, {"listen_events": plays.where(early & ~late), "user_info": users.where(early)}, some, s["locations"])
+    advance(s.spark, root, {"listen_events": plays.where(~early | late), "status_change_events": changes, "user_info": users})
+    return advance(s.spark, root, {}, songs, s["locations"])["fact_listen_events"]
+
+
+@query
+def fact_status_changes(s: Shapes) -> DataFrame:
+    """Level changes rebuilt for the days that late changes and users touch."""
+    root = scratch_dir(s.spark, "upkeep")
+    changes, users = s["status_change_events"], s["user_info"]
+    for part in ("userId % 4 <> 0", "userId % 4 = 0 AND ts % 2 = 0", "userId % 4 = 0"):
+        tables = advance(s.spark, root, {"status_change_events": changes.where(part), "user_info": users.where(part)})
+    return tables["fact_status_change_events"]
+
+
+@query
+def arrival_ledger(s: Shapes) -> DataFrame:
+    """Hours of a lake loaded in two turns, some of the first days last: staged by arrival, and told late by the ledger alone."""
+    spark, event = s.spark, "status_change_events"
+    root, table, book, lake_root = (scratch_dir(spark, n) for n in ("upkeep", "raw", "ledger", "lake"))
+    lake = fn.time_parts(s[event].withColumn("ts", F.timestamp_millis("ts")), "ts")
+    write_partitioned(lake, lake_root, ["year", "month", "day", "hour"])
+    hours = lake.select(F.date_trunc("HOUR", "ts").cast("timestamp_ntz").alias("slot"), F.expr(LATE_HOURS).alias("late")).distinct().collect()
+    for late in (False, True):
+        load_and_record(spark, lake_root, event, [r["slot"] for r in hours if r["late"] == late], table, book)
+        tables = advance_from_ledger(spark, root, {event: table}, book)
+    staged = tables["stg_status_change_events"].select(
+        F.lit("staged").alias("part"), "event_datetime", "user_id", "prev_level", F.lit(1).cast("bigint").alias("rows")
+    )
+    told = late_hours(ledger(spark, book, event))
+    return staged.unionByName(
+        told.select(F.lit("late").alias("part"), F.col("slot").cast("timestamp").alias("event_datetime"), "rows"),
+        allowMissingColumns=True,
+    )
+
+
+@query
+def raw_hour_insert(s: Shapes) -> DataFrame:
+    """The plain append of an hourly insert: an hour loaded twice is there twice."""
+    spark, path = s.spark, scratch_dir(s.spark, "insert")
+    changes = load_tolerant(s["status_change_events"], RAW["status_change_events"])
+    day = changes.where(f"ts >= {CUT_MILLIS} AND ts < {CUT_MILLIS + 4 * 3_600_000}")
+    for hour in (0, 1, 2, 3, 3):
+        start = CUT_MILLIS + hour * 3_600_000
+        slot = {"load_year": 2024, "load_month": 1, "load_day": 16, "load_hour": hour}
+        append_hour(day.where(f"ts >= {start} AND ts < {start + 3_600_000}"), path, slot, idempotent=False)
+    return raw_table(spark, path, "status_change_events").select("ts", "userId", "level", "load_hour")
+
+
 # --- sources --------------------------------------------------------------
 
 
