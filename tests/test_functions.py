@@ -86,7 +86,7 @@ def test_elapsed_is_not_boundaries(spark):
     assert one(spark, fn.second_boundaries(F.col("a"), F.col("b")), a=a, b=b) == 1
 
 
-@pytest.mark.parametrize("value, digits, out", [(1.005, 2, 1.01), (-1.005, 2, -1.01), (0.015, 2, 0.02), (1e300, 2, 1e300), (None, 2, None)])
+@pytest.mark.parametrize("value, digits, out", [(1.005, 2, 1.01), (-1.005, 2, -1.01), (0.015, 2, 0.02), (1e300, 2, 1e300), (None, 2, None), (0.0049999996, 2, 0.0), (1.0049999997, 2, 1.0), (1e-9, 9, 1e-9)])
 def test_round_half_up(spark, value, digits, out):
     assert one(spark, fn.round_half_up(F.col("v").cast("double"), digits), v=value) == out
 
@@ -94,6 +94,8 @@ def test_round_half_up(spark, value, digits, out):
 def test_exact_sum_keeps_what_no_decimal_holds(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(None,)], "v double")
     assert df.select(fn.exact_sum(F.col("v"))).first()[0] == 1.0
+    tiny = spark.createDataFrame([(1e-7,)] * 10 + [(1e6,)], "v double")
+    assert tiny.select(fn.exact_sum(F.col("v"))).first()[0] == 1000000.000001
     huge = spark.createDataFrame([(1e300,), (2.0,)], "v double")
     assert huge.select(fn.exact_sum(F.col("v"))).first()[0] == 1e300
     assert df.where("v is null").select(fn.exact_sum(F.col("v"))).first()[0] is None

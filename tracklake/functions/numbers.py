@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EXACT = "decimal(18,6)"
+_EXACT = "decimal(28,12)"
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round on the decimal value, ties away from zero; huge or NaN values keep double rounding."""
-    exact = F.round(value.try_cast(_EXACT), digits).cast("double")
-    return F.coalesce(exact, F.round(value.cast("double"), digits))
+    """Round the double as its decimal text reads, ties away from zero, in one step; values that are not finite stay."""
+    return F.round(value.cast("double"), digits)
 
 
 def exact_sum(value: Column) -> Column:
     """A sum of doubles that does not depend on row order.
 
-    Values are added as decimals; the rare value no decimal can hold is added
+    Values are added as decimals of twelve places, exactly; the rare value no decimal can hold is added
     as a double, so that nothing is left out.
     """
     exact = value.try_cast(_EXACT)

@@ -34,12 +34,15 @@ def dedup_sink(
     def store(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         rows = batch.dropDuplicates(keys).withColumn(day, F.to_date(time))
-        if table_exists(spark, path):
-            days = [r[0] for r in rows.select(day).distinct().collect()]  # days of one batch
-            known = spark.read.parquet(path)
-            dated = F.col(day).isin([d for d in days if d is not None])
-            known = known.where(dated | F.col(day).isNull() if None in days else dated)
-            rows = join_null_safe(rows, known.select(*keys), keys, "left_anti")
-        rows.write.mode("append").partitionBy(day).parquet(path)
+        if not table_exists(spark, path):
+            rows.write.mode("append").partitionBy(day).parquet(path)
+            return
+        rows = rows.persist()  # read for its days and for the write
+        days = [r[0] for r in rows.select(day).distinct().collect()]  # days of one batch
+        known = spark.read.parquet(path)
+        dated = F.col(day).isin([d for d in days if d is not None])
+        known = known.where(dated | F.col(day).isNull() if None in days else dated)
+        join_null_safe(rows, known.select(*keys), keys, "left_anti").write.mode("append").partitionBy(day).parquet(path)
+        rows.unpersist()
 
     return df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)

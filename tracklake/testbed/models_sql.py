@@ -27,12 +27,17 @@ def key(*parts: str) -> str:
     return "md5(" + " || '-' || ".join(texts) + ")"
 
 
+def as_written(x: str) -> str:
+    """A double as the decimal number that its text names."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20))"
+
+
 def rounded(x: str, digits: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18, 6)), {digits}) AS DOUBLE)"
+    return f"CAST(round({as_written(x)}, {digits}) AS DOUBLE)"
 
 
 def exact_sum(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18, 6))) AS DOUBLE)"
+    return f"CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12))) AS DOUBLE)"
 
 
 def clean_title(x: str) -> str:
