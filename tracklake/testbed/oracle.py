@@ -322,6 +322,13 @@ ORACLE.update(
         "partitioned_clustered_write": over_models("""
             SELECT part, CAST(event_datetime AS DATE) AS event_date, event_datetime, user_id, song, artist, duration
             FROM stg_listen_events, (VALUES ('day'), ('users')) p(part)"""),
+        "stream_late_rows": over_models("""
+            SELECT DISTINCT l.ts, l.userId, l.song, l.artist,
+                   CASE WHEN l.held AND l.ts < n.newest - 600000 THEN 'late' ELSE 'on time' END AS side
+            FROM (SELECT *, ts < 1705000000000 AND itemInSession % 5 = 0 AS held FROM raw_listen) l
+            LEFT JOIN (SELECT userId, max(ts) AS newest FROM raw_listen
+                       WHERE NOT (ts < 1705000000000 AND itemInSession % 5 = 0) GROUP BY userId) n ON n.userId = l.userId"""),
+        "stream_dedup_native": over_models("SELECT DISTINCT epoch_ms(ts) AS ts, userId, song, artist FROM raw_listen"),
         "dim_users_incremental": over_models("SELECT * FROM dim_users"),
         "fact_listen_changes": over_models("SELECT * FROM fact_listen_events"),
         "fact_status_changes": over_models("SELECT * FROM fact_status_change_events"),

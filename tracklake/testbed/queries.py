@@ -53,7 +53,8 @@ from ..sources import (
     seed,
     snake_case_columns,
 )
-from ..streaming import decode_events, decoded_with_context, dedup_sink, rejected, start_archive, start_topic
+from ..streaming import decode_events, decoded_with_context, dedup_sink, dedup_stream, rejected, start_archive, start_topic
+from ..streaming.lateness import split_sink, with_lateness
 from .shapes import Shapes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -937,6 +938,38 @@ def stream_dedup_watermark(s: Shapes) -> DataFrame:
     return s.spark.read.parquet(path).select(*keys)
 
 
+@query
+def stream_late_rows(s: Shapes) -> DataFrame:
+    """Plays in three batches, the last one held back and after a restart: once each if on time for their user, else put aside."""
+    spark, keys = s.spark, ["ts", "userId", "song", "artist"]
+    root, path, late_path, state = (scratch_dir(spark, n) for n in ("plays", "on-time", "late", "late-state"))
+    plays, early, late = s["listen_events"].select(*keys, "itemInSession"), F.col("ts") < CUT_MILLIS, F.expr(HELD_BACK)
+    schema = s["listen_events"].select(*keys).schema
+    for turn in ((early & ~late, ~early & ~late), (late,)):
+        for part in turn:
+            plays.where(part).select(*keys).coalesce(1).write.mode("append").parquet(root)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(root)
+        judged = with_lateness(stream, ["userId"], keys)
+        split_sink(judged, path, late_path, state).trigger(availableNow=True).start().awaitTermination()
+    sides = {"on time": path, "late": late_path}
+    on_time, put_aside = (spark.read.parquet(p).select(*keys, F.lit(n).alias("side")) for n, p in sides.items())
+    return on_time.unionByName(put_aside)
+
+
+@query
+def stream_dedup_native(s: Shapes) -> DataFrame:
+    """Repeats of one batch dropped within the watermark, by Spark's own state."""
+    spark, keys = s.spark, ["ts", "userId", "song", "artist"]
+    root, path, state = (scratch_dir(spark, n) for n in ("plays", "native", "native-state"))
+    s["listen_events"].select(*keys).coalesce(1).write.parquet(root)
+    stream = spark.readStream.schema(s["listen_events"].select(*keys).schema).parquet(root)
+    events = dedup_stream(stream.withColumn("ts", F.timestamp_millis("ts")), keys, "ts")
+    events.writeStream.option("checkpointLocation", state).format("parquet").option("path", path).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(path).select(*keys)
+
+
 def topic_query(topic: str) -> None:
     def run(s: Shapes) -> DataFrame:
         """Every field of a topic through the ingest, in several batches."""
