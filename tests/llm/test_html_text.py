@@ -69,3 +69,31 @@ def test_wrappers_around_the_article_stay():
     for name in ("sidebar", "cookie-notice", "site-footer", "comments-wrapper"):
         page = f"<body><article>{body}</article><div class='{name}'><article>{remarks}</article></div></body>"
         assert main_text(page) == want, name
+
+
+def test_the_article_is_kept_whole():
+    text = "The first, long, paragraph of the text, with commas, and words."
+    for part in (
+        '<h2 id="search">Part</h2>', '<h2 id="related-work">Part</h2>', '<h2 class="navigation">Part</h2>', '<section id="comments"><p>Part</p></section>',
+        '<p class="promo-code">Part</p>', '<div class="side-effects">Part</div>', '<div class="legal-history"><p>Part</p></div>',
+        '<p><span class="popup">Part</span></p>', '<p id="copyright">Part</p>',
+    ):
+        assert main_text(f"<body><article><p>{text}</p>{part}<p>End, of it.</p></article></body>") == f"{text}\nPart\nEnd, of it.", part
+    for part in (
+        '<div class="ad">Part</div>', '<div class="share-buttons">Part</div>', '<div class="related-posts"><p>Part</p></div>', '<aside>Part</aside>',
+        '<section class="comments"><p>Part</p></section>', '<div class="newsletter_box">Part</div>', '<div role="navigation">Part</div>',
+    ):
+        assert main_text(f"<body><article><p>{text}</p>{part}<p>End, of it.</p></article></body>") == f"{text}\nEnd, of it.", part
+
+
+def test_deep_and_long_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        page = "<div class='a'>" * n + "<article><p>deep, down</p></article>" + "</div>" * n + "<p class='b'>more, text</p>" * n
+        assert main_text(page).startswith("deep, down")
+        return time.perf_counter() - began
+
+    seconds(500)
+    assert seconds(16_000) < 16 * max(seconds(4_000), 0.05)

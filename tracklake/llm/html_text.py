@@ -50,6 +50,12 @@ LAYOUT_NAMES = re.compile(
     r"|(?:^|[_-])sidebar[_-]content(?:$|[_-])",
     re.IGNORECASE,
 )
+#: Parts of a name that add nothing to a dropped word beside them. Within an article a class counts only if all its parts are such.
+NEUTRAL = re.compile(
+    r"(?:area|articles?|bar|block|box|button|buttons|container|form|inner|item|items|links?|list|outer|panel|posts?|section|slot|top|bottom"
+    r"|unit|widgets?|wrap|wrapper|\d+)",
+    re.IGNORECASE,
+)
 #: Text of readers and hidden text may be longer than the article.
 NEVER_BY_LENGTH = re.compile(r"(?:^|[_-])(?:comments?|commentlist|disqus|replies|reply|respond|hidden)(?:$|[_-])", re.IGNORECASE)
 #: The class names of these say something about the page, not about a part of it.
@@ -64,14 +70,23 @@ UNCLOSED = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 
 
 class Node:
-    __slots__ = ("by_length", "children", "doubted", "drop", "parent", "tag")
+    __slots__ = ("by_length", "children", "doubted", "drop", "inside", "parent", "tag")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubted: bool = False, by_length: bool = True) -> None:
         self.tag, self.parent, self.drop = tag, parent, drop
         self.doubted, self.by_length = doubted, by_length
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
         self.children: list[Node | str] = []
 
 
+def names_a_part(token: str) -> bool:
+    """Whether a whole class name says that its element is no text of the article it stands in: ``share-buttons``, not ``side-effects``."""
+    parts = [part for part in re.split(r"[_-]+", token) if part]
+    return any(DROPPED_NAMES.fullmatch(part) for part in parts) and all(
+        DROPPED_NAMES.fullmatch(part) or NEUTRAL.fullmatch(part) for part in parts
+    )
+
+
 class TreeBuilder(HTMLParser):
     """Elements in document order in ``nodes``; a parent stands before its children."""
 
@@ -98,7 +113,7 @@ class TreeBuilder(HTMLParser):
         parent = self.open[-1]
         drop = parent.drop or tag in DROPPED
         doubted, by_length = tag in DOUBTED, True
-        inside = any(n.tag in ("article", "main") for n in self.open) if tag == "header" or attrs else False
+        inside = parent.inside or parent.tag in ("article", "main")
         if tag == "header":
             doubted = not inside
         if not drop and attrs and tag not in WHOLE:
@@ -106,6 +121,9 @@ class TreeBuilder(HTMLParser):
                 value = value or ""
                 if name in ("class", "id"):
                     found = [t for t in value.split() if DROPPED_NAMES.search(t) and not LAYOUT_NAMES.search(t)]
+                    if inside:  # headings and words have ids and classes of their own subject
+                        named = name == "class" and tag in BLOCK and tag not in HEADING
+                        found = [t for t in found if named and names_a_part(t)]
                     doubted = doubted or bool(found) and not (inside and "header" in value.lower())
                     by_length = by_length and not any(NEVER_BY_LENGTH.search(t) for t in found)
                 elif name == "role":
