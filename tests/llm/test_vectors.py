@@ -79,3 +79,20 @@ def test_edge_rows(spark):
     want = brute([(i, v, lab) if i != 11 else (i, one, lab) for i, v, lab in rows])
     assert [r[:3] for r in got] == [r[:3] for r in want]
     assert vectors.near_duplicate_vectors(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_tight_cluster_among_spread_vectors_and_clashing_columns(spark):
+    """A cluster of many blocks beside spread vectors: no centroid splits it; columns named as those inside are not touched."""
+    rows = [(k, v, 0) for k, v in enumerate(clusters(6, 1, 1200, noise=0.06) + clusters(7, 1500, 1))]
+    df = spark.createDataFrame([(*r, "x", 7, -1) for r in rows], "vec_id long, embedding array<double>, label int, rid string, shard int, block int")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicate_vectors(df, block_rows=128).collect()}
+    x = vectors.unit_rows([r[1] for r in rows])
+    true = (x @ x.T >= 0.93).sum(1) - 1
+    assert len(got) == len(rows) and true.sum() > 1_000_000
+    assert all(got[k] <= true[k] for k in got) and sum(got.values()) >= 0.98 * true.sum()
+
+
+def test_centroids_of_one_cluster_become_one():
+    x = vectors.unit_rows(clusters(8, 1, 50, noise=0.05))
+    apart = vectors.apart(np.concatenate([x, -x, np.zeros((1, 16))]), 0.93)
+    assert len(apart) == 3

@@ -1,7 +1,8 @@
 """Embedding near-duplicates by a robust-pruned flat graph over overlapping cluster shards.
 
 1. Equal vectors of a label are one node with a count. Nodes go to the shards of their nearest centroids (fitted on a bounded
-   sample), so shards overlap; a shard above ``block_rows`` is dealt into blocks by a hash.
+   sample), so shards overlap; a shard holds about half of ``block_rows`` at every size, so the work per node does not grow. A
+   shard that is larger (a tight cluster, or more than ``max_shards`` would be needed) is dealt into blocks by a hash.
 2. In every block each node gets the neighbours that robust pruning leaves of all others (a candidate goes if a kept
    neighbour is closer to it by the factor ``alpha``). The lists of a node from all its shards are united.
 3. Every pair of blocks of a shard is one task: the nodes of one block search the united graph of the other, greedily from its
@@ -47,6 +48,18 @@ def centroids_of(sample: np.ndarray, count: int, rounds: int = 8, seed: int = 7)
     return centre
 
 
+def apart(centre: np.ndarray, least: float) -> np.ndarray:
+    """Of the centroids those with a cosine below ``least`` to all kept before: two within one tight cluster would split its links."""
+    centre = centre / np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-300)
+    open_ = np.ones(len(centre), dtype=bool)
+    kept = []
+    while open_.any():
+        kept.append(int(open_.argmax()))
+        open_ &= centre @ centre[kept[-1]] < least
+        open_[kept[-1]] = False
+    return centre[kept]
+
+
 def unit_rows(vectors: list) -> np.ndarray:
     x = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
     scale = np.abs(x).max(axis=1, keepdims=True)
@@ -171,29 +184,32 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
         label = new
 
 
-def _members(nodes: DataFrame, sample_rows: int, block_rows: int, overlap: int, max_shards: int) -> DataFrame:
+def _members(nodes: DataFrame, sample_rows: int, block_rows: int, overlap: int, max_shards: int, least: float) -> DataFrame:
     """Rows (label, shard, block, blocks, rid, vec, copies, shards): a node once in each of its shards."""
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    count = 1 if largest <= 4 * block_rows else min(max_shards, -(-largest // block_rows))
+    count = min(max_shards, -(-2 * overlap * largest // block_rows))
+    if count <= overlap:  # every shard would hold every node
+        count = 1
     width = F.size("vec")
     if count > 1:
         sample = nodes.orderBy(F.xxhash64("rid")).select("vec").limit(sample_rows).toPandas()["vec"]
         by_width: dict[int, list] = {}
         for v in sample:
             by_width.setdefault(len(v), []).append(v)
-        centres = {k: centroids_of(unit_rows(v), min(count, len(v))) for k, v in by_width.items()}
+        centres = {k: apart(centroids_of(unit_rows(v), min(count, len(v))), least) for k, v in by_width.items()}
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 vectors = batch.column(batch.schema.get_field_index("vec")).to_pylist()
-                shards: list[list[int]] = []
-                for v in vectors:
-                    centre = centres.get(len(v))
-                    if centre is None:
-                        shards.append([0])
-                        continue
-                    near = centre @ unit_rows([v])[0]
-                    shards.append(sorted(np.argsort(-near, kind="stable")[:overlap].tolist()))
+                shards: list[list[int]] = [[0]] * len(vectors)
+                lengths = np.array([len(v) for v in vectors])
+                for long, centre in centres.items():
+                    for at in np.array_split(np.flatnonzero(lengths == long), -(-len(vectors) // 1024)):
+                        if len(at):
+                            near = unit_rows([vectors[k] for k in at]) @ centre.T
+                            best = np.sort(np.argsort(-near, axis=1, kind="stable")[:, :overlap], axis=1)
+                            for k, some in zip(at, best.tolist(), strict=True):
+                                shards[k] = some
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(shards, pa.list_(pa.int32()))], names=[*batch.schema.names, "shards"]
                 )
@@ -214,12 +230,15 @@ def _adjacency(members: DataFrame, degree: int, alpha: float) -> DataFrame:
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         rid = frame["rid"].to_numpy()
         lists = robust_prune(unit_rows(list(frame["vec"])), degree, alpha)
-        source = np.concatenate([np.full(len(x), k) for k, x in enumerate(lists)] or [np.zeros(0, int)]).astype(np.int64)
-        target = np.concatenate(lists or [np.zeros(0, np.int64)]).astype(np.int64)
-        return pd.DataFrame({"rid": np.r_[rid[source], rid[target]], "near": np.r_[rid[target], rid[source]]})
+        source = np.repeat(np.arange(len(rid)), [len(x) for x in lists])
+        target = np.concatenate(lists).astype(np.int64)
+        n = len(rid)
+        edges = np.unique(np.r_[source * n + target, target * n + source])  # one row a node leaves the task, not one an edge
+        near = np.split(rid[edges % n], np.searchsorted(edges // n, np.arange(1, n)))
+        return pd.DataFrame({"rid": rid, "near": near})
 
-    edges = members.groupBy("label", "width", "shard", "block").applyInPandas(build, "rid bigint, near bigint")
-    return edges.groupBy("rid").agg(F.collect_set("near").alias("near"))
+    lists = members.groupBy("label", "width", "shard", "block").applyInPandas(build, "rid bigint, near array<bigint>")
+    return lists.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
 
 def link_nodes(
@@ -227,7 +246,7 @@ def link_nodes(
     degree: int = 24, alpha: float = 1.2, beam: int = 24, entries: int = 8, max_shards: int = 2048,
 ) -> DataFrame:
     """``rid``, ``links`` (rows linked through other nodes) or a link ``rid``-``other`` of the spanning forest."""
-    members = stored(_members(nodes, sample_rows, block_rows, overlap, max_shards), "blocks")
+    members = stored(_members(nodes, sample_rows, block_rows, overlap, max_shards, least), "blocks")
     with_graph = members.join(_adjacency(members, degree, alpha), "rid", "left")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = with_graph.select("*", other).withColumn("first", F.least("block", "other"))
