@@ -11,10 +11,11 @@ from dataclasses import dataclass
 class IngestSettings:
     lake_root: str
     checkpoint_root: str
-    source: str = "kafka"  # kafka | files | rate
+    source: str = "kafka"  # kafka | files | archive | rate
     bootstrap_servers: str = "localhost:9092"
     files_root: str | None = None
-    starting_offsets: str = "earliest"
+    starting_offsets: str = "earliest"  # or latest; of an archive also an hour like 2024-01-02T03
+    fail_on_data_loss: bool = False
     max_offsets_per_trigger: int = 50_000
     max_files_per_trigger: int | None = None
     trigger_interval: str = "60 seconds"
@@ -34,6 +35,7 @@ class IngestSettings:
             bootstrap_servers=f"{host}:{port}",
             files_root=env.get("STREAM_FILES_ROOT"),
             starting_offsets=env.get("SPARK_STARTING_OFFSETS", "earliest"),
+            fail_on_data_loss=env.get("SPARK_FAIL_ON_DATA_LOSS", "false").lower() == "true",
             max_offsets_per_trigger=int(env.get("SPARK_MAX_OFFSETS_PER_TRIGGER", "50000")),
             max_files_per_trigger=int(files_per_trigger) if files_per_trigger else None,
             trigger_interval=env.get("SPARK_TRIGGER_INTERVAL", "60 seconds"),

@@ -1,5 +1,6 @@
 from .feeds import csv_with_header, delimited_feed, feed_rejects, json_archive, seed
 from .lake import drop_view, hour_has_rows, hour_of, parquet_glob, register_view, snake_case_columns
+from .replay import replay_stream, start_mark
 from .stream import event_stream, file_stream, kafka_options, kafka_stream, rate_stream
 
 __all__ = [
@@ -17,6 +18,8 @@ __all__ = [
     "parquet_glob",
     "rate_stream",
     "register_view",
+    "replay_stream",
     "seed",
     "snake_case_columns",
+    "start_mark",
 ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..settings import IngestSettings
+from .replay import LATEST, replay_stream, start_mark
 
 CONTEXT = ["value", "topic", "partition", "offset"]
 
@@ -16,7 +17,7 @@ def kafka_options(settings: IngestSettings, topic: str) -> dict[str, str]:
         "subscribe": topic,
         "startingOffsets": settings.starting_offsets,
         "maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(settings.fail_on_data_loss).lower(),
         # Consumer time limits in milliseconds.
         "kafka.max.poll.interval.ms": "300000",
         "kafka.session.timeout.ms": "30000",
@@ -60,6 +61,11 @@ def event_stream(spark: SparkSession, settings: IngestSettings, topic: str) -> D
         return kafka_stream(spark, settings, topic)
     if settings.source == "files":
         return file_stream(spark, f"{settings.files_root}/{topic}", topic, settings.max_files_per_trigger)
+    if settings.source == "archive":
+        mark = start_mark(spark, f"{settings.checkpoint_path(topic)}_start") if settings.starting_offsets == LATEST else None
+        return replay_stream(
+            spark, settings.files_root, topic, settings.starting_offsets, mark, settings.max_files_per_trigger, settings.fail_on_data_loss
+        )
     if settings.source == "rate":
         return rate_stream(spark, topic)
     raise ValueError(f"unknown source: {settings.source}")

@@ -1,7 +1,7 @@
 from .archive import archive_frame, start_archive
 from .decode import decode_events, decoded_with_context, readable, rejected
 from .dedup import dedup_sink, dedup_stream
-from .run import file_sink, run_topics, start_topic, supervise
+from .run import file_sink, health, keep_running, run_topics, start_topic, supervise, topic_writers
 
 __all__ = [
     "archive_frame",
@@ -10,10 +10,13 @@ __all__ = [
     "dedup_sink",
     "dedup_stream",
     "file_sink",
+    "health",
+    "keep_running",
     "readable",
     "rejected",
     "run_topics",
     "start_archive",
     "start_topic",
     "supervise",
+    "topic_writers",
 ]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import time
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -41,14 +42,14 @@ def file_sink(
     return writer.trigger(availableNow=True) if run_once else writer.trigger(processingTime=trigger)
 
 
-def start_topic(
+def topic_writers(
     spark: SparkSession,
     settings: IngestSettings,
     topic: str,
     source: Callable[[SparkSession, IngestSettings, str], DataFrame] = event_stream,
     partition_by: Iterable[str] = PARTITIONS,
-) -> list[StreamingQuery]:
-    """Store the topic's events, and beside them what could not be read.
+) -> dict[str, DataStreamWriter]:
+    """By query name, what stores the topic's events, and beside them what could not be read.
 
     Two queries, each with its own checkpoint, keep both sinks exactly-once. ``partition_by=PARTITIONS_WITHOUT_YEAR``
     writes the older layout.
@@ -67,7 +68,18 @@ def start_topic(
         file_format="json",
         **common,
     )
-    return [events.queryName(topic).start(), letters.queryName(f"{topic}_dead_letters").start()]
+    return {name: writer.queryName(name) for name, writer in ((topic, events), (f"{topic}_dead_letters", letters))}
+
+
+def start_topic(
+    spark: SparkSession,
+    settings: IngestSettings,
+    topic: str,
+    source: Callable[[SparkSession, IngestSettings, str], DataFrame] = event_stream,
+    partition_by: Iterable[str] = PARTITIONS,
+) -> list[StreamingQuery]:
+    """Start the queries of :func:`topic_writers`."""
+    return [writer.start() for writer in topic_writers(spark, settings, topic, source, partition_by).values()]
 
 
 def run_topics(
@@ -83,3 +95,57 @@ def supervise(spark: SparkSession, timeout_seconds: int | None = None) -> bool:
     ended = spark.streams.awaitAnyTermination(timeout_seconds)
     spark.streams.resetTerminated()
     return bool(ended) if timeout_seconds is not None else True
+
+
+def health(name: str, query: StreamingQuery, failures: int) -> dict:
+    """How a query is doing: its last batch, the rows of its recent batches, its failures so far and its error."""
+    recent, error = query.recentProgress, query.exception()
+    return {
+        "query": name,
+        "active": query.isActive,
+        "last_batch": recent[-1].batchId if recent else None,
+        "recent_rows": sum(p.numInputRows for p in recent),
+        "failures": failures,
+        "error": str(error) if error else None,
+    }
+
+
+def keep_running(
+    spark: SparkSession,
+    writers: Mapping[str, DataStreamWriter],
+    attempts: int = 3,
+    pause: float = 5.0,
+    longest_pause: float = 300.0,
+    poll: float = 1.0,
+    report: Callable[[dict], None] = lambda row: None,
+) -> None:
+    """Start all queries and start again, from its checkpoint, only that one that fails; returns when all have ended well.
+
+    A query waits ``pause`` seconds before it is started again, twice as long after each further failure. ``report`` gets
+    :func:`health` whenever a query ends. After ``attempts`` restarts of one query the others are stopped, which loses nothing,
+    and its error is raised.
+    """
+    spark.streams.resetTerminated()
+    running = {name: writer.start() for name, writer in writers.items()}
+    failures = dict.fromkeys(writers, 0)
+    due: dict[str, float] = {}
+    while running or due:
+        for name, query in list(running.items()):
+            if query.isActive:
+                continue
+            del running[name]
+            error = query.exception()
+            failures[name] += error is not None
+            report(health(name, query, failures[name]))
+            if error is None:
+                continue
+            if failures[name] > attempts:
+                for other in running.values():
+                    other.stop()
+                raise error
+            due[name] = time.monotonic() + min(longest_pause, pause * 2 ** (failures[name] - 1))
+        for name in [n for n, at in due.items() if at <= time.monotonic()]:
+            del due[name]
+            running[name] = writers[name].start()
+        time.sleep(poll)
+    spark.streams.resetTerminated()

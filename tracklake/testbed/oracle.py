@@ -410,6 +410,12 @@ ORACLE.update(
                    count(*) AS events
             FROM raw_listen GROUP BY 1
             UNION ALL SELECT '1970-01-01 00:00:00+00', count(*), 0 FROM ev WHERE event_type = 'purchase'"""),
+        "stream_replay": over_models(f"""
+            SELECT epoch_ms(ts) AS ts, userId, repaired AS song, artist FROM ({STREAMED}) WHERE ts >= 1705363200000"""),
+        "stream_all_topics": over_models(" UNION ALL ".join(
+            f"SELECT '{topic}' AS topic, CAST(epoch_ms(ts) AS DATE) AS day, count(*) AS events FROM {source} GROUP BY ALL"
+            for topic, source in [("listen_events", "raw_listen"), *((t, given[0]) for t, given in WIRE_SOURCE.items())]
+        )),
         "stream_dedup_watermark": over_models(f"""
             SELECT DISTINCT epoch_ms(ts) AS ts, userId, repaired AS song, artist FROM ({STREAMED})"""),
     }

@@ -53,7 +53,17 @@ from ..sources import (
     seed,
     snake_case_columns,
 )
-from ..streaming import decode_events, decoded_with_context, dedup_sink, dedup_stream, rejected, start_archive, start_topic
+from ..streaming import (
+    decode_events,
+    decoded_with_context,
+    dedup_sink,
+    dedup_stream,
+    keep_running,
+    rejected,
+    start_archive,
+    start_topic,
+    topic_writers,
+)
 from ..streaming.lateness import split_sink, with_lateness
 from .shapes import Shapes
 
@@ -907,6 +917,45 @@ def stream_archive(s: Shapes) -> DataFrame:
     return rows.groupBy("date").agg(F.count(F.lit(1)).alias("messages"), F.count("ts").alias("events"))
 
 
+@query
+def stream_replay(s: Shapes) -> DataFrame:
+    """The archive replayed from an hour on, in batches of bounded size, through the ingest."""
+    path, checkpoint = scratch_dir(s.spark, "archive"), scratch_dir(s.spark, "archive-state")
+    ms = F.coalesce(F.get_json_object(F.col("value").cast("string"), "$.ts").try_cast("bigint"), F.lit(0))
+    at = F.date_trunc("DAY", F.timestamp_millis(ms))  # a flush a day, not an hour
+    sent = file_stream(s.spark, f"{message_files(s)}/listen_events", "listen_events")
+    start_archive(sent, path, checkpoint, run_once=True, at=at).awaitTermination()
+    settings = IngestSettings(
+        lake_root=scratch_dir(s.spark, "replay"), checkpoint_root=scratch_dir(s.spark, "replay-state"), source="archive",
+        files_root=path, starting_offsets=CUT.strftime("%Y-%m-%dT%H"), max_files_per_trigger=12, run_once=True, run_id="second",
+    )
+    for started in start_topic(s.spark, settings, "listen_events"):
+        started.awaitTermination()
+    return s.spark.read.parquet(settings.sink_path("listen_events")).select("ts", "userId", "song", "artist")
+
+
+@query
+def stream_all_topics(s: Shapes) -> DataFrame:
+    """Every topic at once under supervision: events stored by topic and day."""
+    root = scratch_dir(s.spark, "messages")
+    for topic, schema in WIRE.items():
+        s[topic].select(F.to_json(F.struct(*[n for n in schema.names if n in s[topic].columns])).alias("value")).write.text(f"{root}/{topic}")
+    settings = IngestSettings(
+        lake_root=scratch_dir(s.spark, "ingest"), checkpoint_root=scratch_dir(s.spark, "ingest-state"), source="files",
+        files_root=root, run_once=True,
+    )
+    writers: dict = {}
+    for topic in WIRE:
+        writers |= topic_writers(s.spark, settings, topic)
+    keep_running(s.spark, writers, poll=0.1)
+    stored = None
+    for topic in WIRE:
+        events = s.spark.read.parquet(settings.sink_path(topic)).groupBy(F.to_date("ts").alias("day"))
+        counted = events.agg(F.count(F.lit(1)).alias("events")).withColumn("topic", F.lit(topic))
+        stored = counted if stored is None else stored.unionByName(counted)
+    return stored
+
+
 @query
 def decode_bad_times(s: Shapes) -> DataFrame:
     """Messages whose time is no time: dead letters, while the decoder goes on."""
