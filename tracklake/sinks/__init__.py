@@ -1,3 +1,4 @@
+from .interleave import interleaved_key, rank_bounds, write_interleaved
 from .tables import (
     append_hour,
     delete_path,
@@ -14,10 +15,13 @@ __all__ = [
     "append_hour",
     "delete_path",
     "path_exists",
+    "rank_bounds",
     "ensure_table",
+    "interleaved_key",
     "overwrite_table",
     "table_exists",
     "with_event_date",
     "write_clustered",
+    "write_interleaved",
     "write_partitioned",
 ]

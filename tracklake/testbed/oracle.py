@@ -322,6 +322,7 @@ ORACLE.update(
         "partitioned_clustered_write": over_models("""
             SELECT part, CAST(event_datetime AS DATE) AS event_date, event_datetime, user_id, song, artist, duration
             FROM stg_listen_events, (VALUES ('day'), ('users')) p(part)"""),
+        "interleaved_write": over_models("SELECT event_datetime, user_id, song, artist, duration FROM stg_listen_events"),
         "stream_late_rows": over_models("""
             SELECT DISTINCT l.ts, l.userId, l.song, l.artist,
                    CASE WHEN l.held AND l.ts < n.newest - 600000 THEN 'late' ELSE 'on time' END AS side

@@ -41,7 +41,7 @@ from ..plans.refresh import Tables, refresh
 from ..schemas import LOCATIONS_FEED, RAW, SONGS_FEED, WIRE
 from ..session import scratch_dir
 from ..settings import IngestSettings
-from ..sinks import append_hour, with_event_date, write_clustered, write_partitioned
+from ..sinks import append_hour, with_event_date, write_clustered, write_interleaved, write_partitioned
 from ..sources import (
     csv_with_header,
     delimited_feed,
@@ -558,6 +558,16 @@ def partitioned_clustered_write(s: Shapes) -> DataFrame:
     return days.withColumn("part", F.lit("day")).unionByName(users.withColumn("part", F.lit("users")))
 
 
+@query
+def interleaved_write(s: Shapes) -> DataFrame:
+    """Staged plays laid out by three columns at once, read back in full."""
+    path = scratch_dir(s.spark, "interleaved")
+    columns = ["event_datetime", "user_id", "song", "artist", "duration"]
+    listens = models(s)["stg_listen_events"].select(*columns)
+    write_interleaved(listens, path, ["user_id", "song", "event_datetime"])
+    return s.spark.read.parquet(path).select(*columns)
+
+
 # --- increments of stored tables ------------------------------------------
 
 
