@@ -41,14 +41,14 @@ class Rule:
     ``words``: units are words, else bytes. ``earlier_only``: a window goes if it also starts in a document with a smaller id; else
     if it also starts anywhere else. ``resolve`` gets the texts of
     each owner that need comparing, as (kind, owner, text), what is known of each as a whole, and this rule; it returns one array per text: for ``earlier_only`` the smallest id in which each window occurs, else whether
-    each occurs more than once.
+    each occurs more than once. None stands for a text that is judged as a whole, as no window of it is in another text.
     """
 
     words: bool
     window: int
     gram: int
     earlier_only: bool
-    resolve: Callable[[list[list[tuple]], list[int], "Rule"], list[np.ndarray]]
+    resolve: Callable[[list[list[tuple]], list[int], "Rule"], list[np.ndarray | None]]
     hot: int = 300
     chunk_bytes: int = 1 << 20
     buckets: tuple[int, int] = (256, 1024)
@@ -476,7 +476,8 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
         doubtful = [key for group in groups for key in group]
         detail: dict[tuple, np.ndarray] = {}
         if doubtful:
-            detail = dict(zip(doubtful, rule.resolve(groups, [known[key] for key in doubtful], rule), strict=True))
+            found = rule.resolve(groups, [known[key] for key in doubtful], rule)
+            detail = {key: each for key, each in zip(doubtful, found, strict=True) if each is not None}
         for number, key, value, starts in waiting:
             kind, _, text = key
             units = window if kind == 1 else text.count(b" ") + 1 if rule.words else len(text) - 2 + (kind == 2) * (rule.gram - 1)
