@@ -32,6 +32,7 @@ from tracklake.llm.common import process_cache, stored
 U = np.uint64
 OWNER_BITS = 48
 NO_ID = np.iinfo(np.int64).max
+BLOCK = 1 << 14  # hashes computed at a time, so that they stay in the processor's cache
 
 
 @dataclass(frozen=True)
@@ -55,9 +56,12 @@ class Rule:
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x = x ^ (x >> U(30))
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
 def gram_hashes(units: np.ndarray, size: int, factor: int) -> np.ndarray:
@@ -83,14 +87,20 @@ def gram_hashes(units: np.ndarray, size: int, factor: int) -> np.ndarray:
 
 def byte_grams(raw: np.ndarray, size: int) -> np.ndarray:
     """Hash of every ``size`` (eight at least) consecutive bytes."""
-    n = len(raw) - size + 1
+    n = max(0, len(raw) - size + 1)
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(padded) - 8,), dtype="<u8", buffer=padded, strides=(1,))
+    out = np.empty(n, U)
     with np.errstate(over="ignore"):
-        x = mix(eight[:n])
-        for at in [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]:
-            x = mix((x ^ eight[at : at + n]) * U(0x9E3779B97F4A7C15))
-    return x >> U(64 - OWNER_BITS)
+        for a in range(0, n, BLOCK):
+            b = min(n, a + BLOCK)
+            x = mix(eight[a:b])
+            for at in [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]:
+                x ^= eight[a + at : b + at]
+                x *= U(0x9E3779B97F4A7C15)
+                x = mix(x)
+            out[a:b] = x >> U(64 - OWNER_BITS)
+    return out
 
 
 def gram_checks(raw: np.ndarray, places: np.ndarray) -> list[bytes]:
@@ -154,17 +164,21 @@ class Chunk:
         self.owner, self.of = low[starts], self.doc[starts]
         self.grams, self.low = x, low
 
-    def owners(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct owners, the count of each (ids or places; at most 255), and the index of each run's owner."""
-        distinct, index = np.unique(self.owner, return_inverse=True)
+    def owners(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct owners and the index of each run's owner."""
+        return np.unique(self.owner, return_inverse=True)
+
+    def counts(self, distinct: np.ndarray, index: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Of each distinct owner the count of ids or places, at most 255."""
         if self.rule.earlier_only:
             _, doc = np.unique(ids, return_inverse=True)
-            pairs = np.unique(index * (len(ids) + 1) + doc[self.of])
+            pairs = np.sort(index * (len(ids) + 1) + doc[self.of])
+            pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]]
             count = np.bincount(pairs // (len(ids) + 1), minlength=len(distinct))
         else:
             values, times = np.unique(self.grams, return_counts=True) if len(distinct) else (distinct, distinct)
             count = times[np.searchsorted(values, distinct)] if len(distinct) else np.zeros(0, np.int64)
-        return distinct, np.minimum(count, 255).astype(np.uint8), index
+        return np.minimum(count, 255).astype(np.uint8)
 
     def held(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For these runs, where the owner's gram first stands and how often it stands in the run."""
@@ -180,12 +194,13 @@ class Chunk:
         chosen = np.flatnonzero(top[: len(self.grams)] == self.grams)
         start, stop = self.start[some], self.start[some] + self.length[some] - 1 + wide
         at, to = np.searchsorted(chosen, start), np.searchsorted(chosen, stop)
-        first, times = np.full(len(some), -1), np.zeros(len(some), np.int64)
-        for step in range(int((to - at).max()) if len(some) else 0):
-            place = chosen[np.minimum(at + step, len(chosen) - 1)]
-            hit = (at + step < to) & (self.grams[place] == self.owner[some])
-            first = np.where(hit & (first < 0), place, first)
-            times += hit
+        run = np.repeat(np.arange(len(some)), to - at)
+        place = chosen[np.arange(len(run)) + np.repeat(at - np.cumsum(to - at) + (to - at), to - at)]
+        hit = self.grams[place] == self.owner[some][run]
+        run, place = run[hit], place[hit]
+        first = np.full(len(some), -1)
+        first[run[::-1]] = place[::-1]  # the last one written is the first one there
+        times = np.bincount(run, minlength=len(some))
         return first, times
 
     def text(self, start: int, units: int) -> bytes:
@@ -338,7 +353,8 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
             for _, row in frame.iterrows():
                 chunk, ids = _open(rule, row)
                 chunk.runs()
-                owner, count, _ = chunk.owners(ids)
+                owner, index = chunk.owners()
+                count = chunk.counts(owner, index, ids)
                 order, there, edge = _split(owner, buckets)
                 short = (owner[order] // U(buckets)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 packed = np.concatenate([short[:, ::-1], count[order][:, None]], axis=1)
@@ -368,7 +384,7 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
             return empty
         chunk, ids = _open(rule, left.iloc[0])
         chunk.runs()
-        owner, _, index = chunk.owners(ids)
+        owner, index = chunk.owners()
         order, there, edge = _split(owner, buckets)
         code = np.zeros(len(owner), np.uint8)
         where = {int(b): k for k, b in enumerate(there)}
