@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklake.llm.common import process_cache, stored
+from tracklake.llm.straddle import NO_ID, Runs, decide, gather
 
 U = np.uint64
 OWNER_BITS = 48
-NO_ID = np.iinfo(np.int64).max
 BLOCK = 1 << 14  # hashes computed at a time, so that they stay in the processor's cache
 
 
@@ -42,14 +42,16 @@ class Rule:
     ``words``: units are words, else bytes. ``earlier_only``: a window goes if it also starts in a document with a smaller id; else
     if it also starts anywhere else. ``resolve`` gets the texts of
     each owner that need comparing, as (kind, owner, text), what is known of each as a whole, and this rule; it returns one array per text: for ``earlier_only`` the smallest id in which each window occurs, else whether
-    each occurs more than once. None stands for a text that is judged as a whole, as no window of it is in another text.
+    each occurs more than once. ``by_window`` (bytes) does the same for runs that came as columns: texts as symbols with a zero behind
+    each, symbols of a window and smallest known id of each.
     """
 
     words: bool
     window: int
     gram: int
     earlier_only: bool
-    resolve: Callable[[list[list[tuple]], list[int], "Rule"], list[np.ndarray | None]]
+    resolve: Callable[[list[list[tuple]], list[int], "Rule"], list[np.ndarray]]
+    by_window: Callable[[np.ndarray, np.ndarray, np.ndarray], list[np.ndarray]] | None = None
     hot: int = 300
     chunk_bytes: int = 1 << 20
     buckets: tuple[int, int] = (256, 1024)
@@ -103,7 +105,7 @@ def byte_grams(raw: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def gram_checks(raw: np.ndarray, places: np.ndarray) -> list[bytes]:
+def gram_checks(raw: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Two more bytes of hash of the grams of 24 bytes or more at these places; with the owner they make 64 bits."""
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(padded) - 8,), dtype="<u8", buffer=padded, strides=(1,))
@@ -111,8 +113,7 @@ def gram_checks(raw: np.ndarray, places: np.ndarray) -> list[bytes]:
         x = mix(eight[places] * U(0xD6E8FEB86659FD93))
         for at in (8, 16):
             x = mix((x ^ eight[places + at]) * U(0xD6E8FEB86659FD93))
-    two = (x >> U(48)).astype("<u2").tobytes()
-    return [two[k : k + 2] for k in range(0, len(two), 2)]
+    return (x >> U(48)).astype("<u2")
 
 
 class Chunk:
@@ -310,22 +311,23 @@ def _squeezer() -> tuple[Callable[[bytes], bytes], Callable[[bytes], bytes]]:
     return process_cache("squeezer", make)
 
 
-def _pack(items: list[tuple], echo: np.ndarray) -> bytes:
-    """Items: (kind, owner, text, id or multiplicity, starts)."""
+def _pack(items: list[tuple], echo: np.ndarray, runs: bytes = b"") -> bytes:
+    """Items: (kind, owner, text, id or multiplicity, starts); ``runs``: those that travel as columns."""
     kinds, owners, texts, values, starts = zip(*items, strict=True) if items else ((),) * 5
     counts = [len(s) for s in starts]
     flat = np.array([s for some in starts for s in some], dtype="<u4")
     columns = (kinds, owners, [len(t) for t in texts], values, counts)
-    body = [struct.pack("<3q", len(items), len(flat), len(echo))]
+    body = [struct.pack("<4q", len(items), len(flat), len(echo), len(runs)), runs]
     body += [_planes(np.array(c, dtype=kind)) for c, kind in zip(columns, COLUMNS, strict=True)]
     body += [_planes(flat), echo.astype("<i8").tobytes(), *texts]
     return _squeezer()[0](b"".join(body))
 
 
-def _unpack(data: bytes) -> tuple[list[tuple], np.ndarray]:
+def _unpack(data: bytes) -> tuple[list[tuple], np.ndarray, bytes]:
     raw = _squeezer()[1](data)
-    n, m, e = struct.unpack_from("<3q", raw)
-    at, columns = 24, []
+    n, m, e, r = struct.unpack_from("<4q", raw)
+    runs = raw[32 : 32 + r]
+    at, columns = 32 + r, []
     for kind in COLUMNS:
         column, at = _from_planes(raw, kind, n, at)
         columns.append(column.tolist())
@@ -338,7 +340,7 @@ def _unpack(data: bytes) -> tuple[list[tuple], np.ndarray]:
         items.append((kind, owner, raw[at : at + size], value, flat[s : s + count]))
         at += size
         s += count
-    return items, echo
+    return items, echo, runs
 
 
 def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish_schema: str, finish: Callable) -> DataFrame:
@@ -394,6 +396,7 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
         run_code = code[index]
         echo: list[tuple[int, int]] = []
         out: dict[int, list] = {}
+        columns: Runs | None = None
 
         def settle(groups: dict, kind: int, bucket_of: Callable) -> None:
             """Decide what this chunk can; send one representative of each text."""
@@ -437,15 +440,14 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
         else:
             first, times = chunk.held(some)
             check = gram_checks(chunk.raw, first)
+            once = times == 1
+            columns, decided = gather(chunk, some[once], first[once], check[once], ids, buckets)
+            echo.extend(decided.tolist())
             whole: dict = {}
-            data, gram = chunk.data, rule.gram
-            for d, s, n, o, p, c, t in zip(*runs, first.tolist(), check, times.tolist(), strict=True):
-                if t == 1:  # without the gram, which the owner and the check stand for
-                    text = c + bytes((p - s,)) + data[s:p] + data[p + gram : s + n - 1 + window]
-                    add(groups, (o, text), (d, s, n))
-                else:
-                    add(whole, (o, c + data[s : s + n - 1 + window]), (d, s, n))
-            settle(groups, 2, lambda o: o % buckets)
+            data = chunk.data
+            for k in np.flatnonzero(~once).tolist():
+                d, s, n, o = (column[k] for column in runs)
+                add(whole, (o, int(check[k]).to_bytes(2, "little") + data[s : s + n - 1 + window]), (d, s, n))
             settle(whole, 0, lambda o: o % buckets)
         some = np.flatnonzero(run_code == 2)
         if len(some):
@@ -466,7 +468,14 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
             out.setdefault(home, [])
         flat = np.array(echo, dtype=np.int64).ravel()
         none = np.zeros(0, np.int64)
-        rows = [(b, number, _pack(items, flat if b == home else none)) for b, items in out.items()]
+        packed: dict[int, bytes] = {}
+        if columns is not None:
+            _, there, edge = _split(columns.owner, buckets)  # in order of their bucket already
+            places = np.append(0, np.cumsum(columns.count))
+            for b, i, j in zip(there.tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                packed[b] = columns.pack(i, j, columns.starts[places[i] : places[j]], _planes)
+                out.setdefault(b, [])
+        rows = [(b, number, _pack(items, flat if b == home else none, packed.get(b, b""))) for b, items in out.items()]
         return pd.DataFrame(rows, columns=["bucket", "chunk", "data"]) if rows else empty
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
@@ -474,10 +483,8 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
         known: dict = {}  # (kind, owner, text) -> what is known of the text as a whole
         owners: dict[tuple, list[tuple]] = {}
         waiting = []
-        for number, data in zip(frame["chunk"], frame["data"], strict=True):
-            items, echo = _unpack(data)
-            if len(echo):
-                ranges.setdefault(number, []).extend(echo.tolist())
+
+        def take(number: int, items: list[tuple]) -> None:
             for kind, owner, text, value, starts in items:
                 key = (kind, owner, text)
                 if key in known:
@@ -488,12 +495,32 @@ def find_repeats(docs: DataFrame, rule: Rule, id_col: str, text_col: str, finish
                         owners.setdefault(owner if rule.words else (owner, text[:2]), []).append(key)
                 if starts:
                     waiting.append((number, key, value, starts))
+
+        parts: list[tuple[int, Runs]] = []
+        for number, data in zip(frame["chunk"].tolist(), frame["data"], strict=True):
+            items, echo, runs = _unpack(data)
+            if len(echo):
+                ranges.setdefault(number, []).extend(echo.tolist())
+            take(number, items)
+            if runs:
+                parts.append((number, Runs.unpack(runs, window - rule.gram, _from_planes)))
+        if owners and parts:  # an owner that has a text with its gram several times is compared as texts
+            several = np.array([owner for owner, _ in owners], dtype=U)
+            mixed = {(owner, int.from_bytes(check, "little")) for owner, check in owners}
+            for k, (number, runs) in enumerate(parts):
+                some = [i for i in np.flatnonzero(np.isin(runs.owner, several)).tolist() if (int(runs.owner[i]), int(runs.check[i])) in mixed]
+                if some:
+                    ends = np.cumsum(runs.count)
+                    starts = [runs.starts[ends[i] - runs.count[i] : ends[i]].tolist() for i in some]
+                    take(number, [(2, int(runs.owner[i]), runs.text(i), int(runs.value[i]), at) for i, at in zip(some, starts, strict=True)])
+                    parts[k] = (number, runs.without(some))
+        for number, flat in decide(parts, rule, rule.by_window).items():
+            ranges.setdefault(number, []).extend(flat)
         groups = [g for g in owners.values() if len(g) > 1 or not rule.earlier_only and known[g[0]] < 2]
         doubtful = [key for group in groups for key in group]
         detail: dict[tuple, np.ndarray] = {}
         if doubtful:
-            found = rule.resolve(groups, [known[key] for key in doubtful], rule)
-            detail = {key: each for key, each in zip(doubtful, found, strict=True) if each is not None}
+            detail = dict(zip(doubtful, rule.resolve(groups, [known[key] for key in doubtful], rule), strict=True))
         for number, key, value, starts in waiting:
             kind, _, text = key
             units = window if kind == 1 else text.count(b" ") + 1 if rule.words else len(text) - 2 + (kind == 2) * (rule.gram - 1)

@@ -114,60 +114,11 @@ def suffix_array(symbols: bytes | list[int]) -> list[int]:
     return out
 
 
-def longest_shared(side: np.ndarray, group: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """For every row, the length of the longest prefix that another row of its group has too; zeros fill up short rows."""
-    rows = np.concatenate([group.astype(">u4").view(np.uint8).reshape(-1, 4), side], axis=1)
-    order = np.argsort(rows.view(f"S{rows.shape[1]}").ravel(), kind="stable")
-    differ = rows[order[1:]] != rows[order[:-1]]
-    shared = np.where(differ.any(axis=1), np.maximum(differ.argmax(axis=1) - 4, 0), side.shape[1])
-    best = np.zeros(len(rows), np.int64)
-    best[order[1:]] = shared
-    best[order[:-1]] = np.maximum(best[order[:-1]], shared)
-    return np.minimum(best, size)
-
-
-class Straddling:
-    """Texts that hold their owner's gram once (kind 2: a check, the gram's place, what stands before and behind), cut short.
+def rebuilt(groups: list[list[tuple]], rule: Rule) -> list[np.ndarray]:
+    """The texts of owners that have a text with the gram several times (kind 0) as symbols, each ended by a zero.
 
-    Every window holds the gram, so equal windows have it at the same place, and what two texts share before and behind it decides how
-    far their common windows reach. A text is cut to the longest such reach within its owner; nothing is left of one whose reaches are
-    too short for a window. What is left is kept once per owner, and the gram is one symbol of its own.
+    Texts that hold the gram once come without it (kind 2: a check, the gram's place, what stands before and behind); it is put back.
     """
-
-    def __init__(self, texts: list[bytes], group: np.ndarray, least: np.ndarray, rule: Rule) -> None:
-        wide = rule.window - rule.gram
-        raw = np.frombuffer(b"".join(texts), np.uint8)
-        size = np.fromiter(map(len, texts), np.int64, len(texts))
-        at = np.cumsum(size) - size + 2
-        before = raw[at].astype(np.int64)
-        behind = size - 3 - before
-        step = np.arange(wide)
-        sides = []
-        for first, sign, length in ((at + before, -1, before), (at + before + 1, 1, behind)):
-            inside = step < length[:, None]
-            # UTF-8 has no byte above 0xF4, so one more still fits and zero stays free for what is not there.
-            side = np.where(inside, raw[np.where(inside, first[:, None] + sign * step, 0)] + np.uint8(1), np.uint8(0))
-            reach = longest_shared(side, group, length)
-            side[step >= reach[:, None]] = 0
-            sides.append((side, reach))
-        (left, reach_left), (right, reach_right) = sides
-        self.windows = before + behind - wide + 1
-        self.live = np.flatnonzero(reach_left + reach_right >= wide)
-        self.offset = (before - reach_left)[self.live]
-        rows = np.concatenate([group.astype(">u4").view(np.uint8).reshape(-1, 4), left, right], axis=1)[self.live]
-        _, first, self.index = np.unique(rows.view(f"S{4 + 2 * wide}").ravel(), return_index=True, return_inverse=True)
-        some = self.live[first]
-        self.least = np.full(len(some), NO_ID, dtype=np.int64)
-        np.minimum.at(self.least, self.index, least[self.live])
-        column = np.zeros((len(some), 1), np.int64)
-        symbols = np.concatenate([left[some, ::-1], column + 257 + group[some, None], right[some], column], axis=1)
-        there = symbols > 0
-        there[:, -1] = True
-        self.symbols = symbols[there]
-
-
-def rebuilt(groups: list[list[tuple]], rule: Rule) -> list[np.ndarray]:
-    """The texts of owners that have a text with the gram several times (kind 0), as symbols; the gram is put back from there."""
     parts: list[np.ndarray] = []
     byte = lambda raw: np.frombuffer(raw, np.uint8).astype(np.int64) + 1
     end = np.zeros(1, np.int64)
@@ -207,42 +158,13 @@ def smallest_by_window(symbols: np.ndarray, width: np.ndarray, least: np.ndarray
     return [by_place[a : a + n] for a, n in zip(begin[:-1].tolist(), windows.tolist(), strict=True)]
 
 
-def smallest_ids(groups: list[list[tuple]], least: list[int], rule: Rule) -> list[np.ndarray | None]:
-    """For every window of every text, the smallest id of the texts it occurs in; None if no window of the text is in another."""
-    once = np.array([all(kind == 2 for kind, _, _ in group) for group in groups])
-    group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-    ids = np.array(least, dtype=np.int64)
-    single, several = np.flatnonzero(once[group]), np.flatnonzero(~once[group])
-    texts = [text for g, whole in zip(groups, once.tolist(), strict=True) if whole for _, _, text in g]
-    parts, width, known = [], [], []
-    if texts:
-        cut = Straddling(texts, group[single], ids[single], rule)
-        parts.append(cut.symbols)
-        width.append(np.full(len(cut.least), rule.window - rule.gram + 1))
-        known.append(cut.least)
-    parts += rebuilt([g for g, whole in zip(groups, once.tolist(), strict=True) if not whole], rule)
-    width.append(np.full(len(several), rule.window))
-    known.append(ids[several])
-    symbols = np.concatenate(parts)
-    out: list[np.ndarray | None] = [None] * len(ids)
-    if not len(symbols):
-        return out
-    found = smallest_by_window(symbols, np.concatenate(width), np.concatenate(known))
-    if texts:
-        live = single[cut.live]
-        rows = (live.tolist(), cut.index.tolist(), cut.offset.tolist(), cut.windows[cut.live].tolist(), ids[live].tolist())
-        for text, k, offset, windows, own in zip(*rows, strict=True):
-            out[text] = some = found[k]
-            if len(some) < windows:
-                out[text] = every = np.full(windows, own, dtype=np.int64)
-                every[offset : offset + len(some)] = some
-        found = found[len(cut.least) :]
-    for text, some in zip(several.tolist(), found, strict=True):
-        out[text] = some
-    return out
+def smallest_ids(groups: list[list[tuple]], least: list[int], rule: Rule) -> list[np.ndarray]:
+    """For every window of every text, the smallest id of the texts it occurs in."""
+    symbols = np.concatenate(rebuilt(groups, rule))
+    return smallest_by_window(symbols, np.full(len(least), rule.window), np.array(least, dtype=np.int64))
 
 
-BYTE_RULE = Rule(words=False, window=50, gram=24, earlier_only=True, resolve=smallest_ids)
+BYTE_RULE = Rule(words=False, window=50, gram=24, earlier_only=True, resolve=smallest_ids, by_window=smallest_by_window)
 
 
 def _finish(chunk: Chunk, a: int, b: int, doc: object, gone: np.ndarray) -> tuple:
