@@ -161,11 +161,39 @@ SELECT word, formed.form, tail AS root, n, n_near, form_n
 FROM formed JOIN (SELECT c.word, c.tail FROM chain c JOIN formed g ON g.word = c.tail WHERE g.form IS NULL) USING (word)
 """
 
+# Bytes as pairs of hex digits; windows of 50 bytes, their smallest document, and what lies between the removed spans.
+OP9 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS g FROM d, unnest(range(0, length(h) // 2 - 49)) AS u(i) WHERE length(h) >= 100
+), m AS (
+  SELECT g, min(doc_id) AS least FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)
+), hit AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM w JOIN m USING (g) WHERE least < doc_id
+), numbered AS (
+  SELECT r, i, count(*) FILTER (p IS NULL OR i > p + 50) OVER (PARTITION BY r ORDER BY i) AS k FROM hit
+), spans AS (
+  SELECT r, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY r, k
+), pieces AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS x, a AS y FROM spans
+  UNION ALL SELECT r, max(b), 1000000000 FROM spans GROUP BY r
+), kept AS (
+  SELECT r, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS k FROM pieces JOIN d USING (r) GROUP BY r
+), removed AS (
+  SELECT r, sum(b - a) AS n, count(*) AS spans FROM spans GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2,
     "op3_vectors": OP3,
     "op4_url_filter": OP4,
     "op6_substrings": OP6,
+    "op9_suffixes": OP9,
     "op11_lexical": OP11,
     "op12_spelling": OP12,
 }
