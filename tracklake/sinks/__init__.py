@@ -1,3 +1,4 @@
+from .compaction import compact, read_compacted
 from .interleave import interleaved_key, rank_bounds, write_interleaved
 from .tables import (
     append_hour,
@@ -13,9 +14,11 @@ from .tables import (
 
 __all__ = [
     "append_hour",
+    "compact",
     "delete_path",
     "path_exists",
     "rank_bounds",
+    "read_compacted",
     "ensure_table",
     "interleaved_key",
     "overwrite_table",
