@@ -338,6 +338,10 @@ ORACLE.update(
             UNION ALL
             SELECT 'late', date_trunc('hour', epoch_ms(ts)), NULL, NULL, count(*) FROM raw_status
             WHERE day(epoch_ms(ts)) < 10 AND hour(epoch_ms(ts)) % 6 = 2 GROUP BY ALL"""),
+        "compacted_sink": over_models("""
+            SELECT make_timestamp(ts * 1000) AS ts, userId, old_level AS level, CAST(year(epoch_ms(ts)) AS INTEGER) AS year,
+                   CAST(month(epoch_ms(ts)) AS INTEGER) AS month, CAST(day(epoch_ms(ts)) AS INTEGER) AS day
+            FROM raw_status"""),
         "raw_hour_insert": over_models(f"""
             SELECT ts, userId, old_level AS level, CAST((ts - {CUT_MILLIS}) // 3600000 AS INTEGER) AS load_hour
             FROM raw_status JOIN (VALUES (0), (1)) AS c(copy) ON copy = 0 OR (ts - {CUT_MILLIS}) // 3600000 = 3

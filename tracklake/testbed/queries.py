@@ -41,7 +41,7 @@ from ..plans.refresh import Tables, refresh
 from ..schemas import LOCATIONS_FEED, RAW, SONGS_FEED, WIRE
 from ..session import scratch_dir
 from ..settings import IngestSettings
-from ..sinks import append_hour, with_event_date, write_clustered, write_interleaved, write_partitioned
+from ..sinks import append_hour, compact, read_compacted, with_event_date, write_clustered, write_interleaved, write_partitioned
 from ..sources import (
     csv_with_header,
     delimited_feed,
@@ -718,6 +718,21 @@ def arrival_ledger(s: Shapes) -> DataFrame:
     )
 
 
+@query
+def compacted_sink(s: Shapes) -> DataFrame:
+    """Level changes in small files by day: three batches, a compaction of the closed days, a late batch, another compaction."""
+    spark, sink, target = s.spark, scratch_dir(s.spark, "sink"), scratch_dir(s.spark, "compacted")
+    changes = fn.time_parts(s["status_change_events"].withColumn("ts", F.timestamp_millis("ts")), "ts")
+    changes = changes.select("ts", "userId", "level", "year", "month", "day")
+    closed = datetime(2024, 1, 16)
+    for batch in range(4):
+        part = changes.where(F.pmod("userId", F.lit(4)) == batch)
+        part.repartition(2, "userId").write.mode("append").partitionBy("year", "month", "day").parquet(sink)
+        if batch >= 2:
+            compact(spark, sink, target, closed)
+    return read_compacted(spark, sink, target)
+
+
 @query
 def raw_hour_insert(s: Shapes) -> DataFrame:
     """The plain append of an hourly insert: an hour loaded twice is there twice."""
