@@ -48,6 +48,16 @@ def test_same_rows_fewer_files(spark, tmp_path):
     assert ids(read_compacted(spark, sink, target)) == ids(spark.read.parquet(sink))
 
 
+def test_rows_without_a_time_are_left_alone(spark, tmp_path):
+    sink, target = str(tmp_path / "sink"), str(tmp_path / "packed")
+    for k in range(2):
+        df = spark.createDataFrame([(k, None, None, None, None)], "id long, year int, month int, day int, hour int")
+        df.write.mode("append").partitionBy("year", "month", "day", "hour").parquet(sink)
+        write(spark, sink, 10 * k, (3,))
+    assert compact(spark, sink, target, CLOSED) == 1
+    assert sorted(r["id"] for r in read_compacted(spark, sink, target).collect()) == [0, 0, 1, 10]
+
+
 def test_a_run_that_is_cut_off_is_not_read(spark, tmp_path, monkeypatch):
     sink, target = str(tmp_path / "sink"), str(tmp_path / "packed")
     for k in range(3):

@@ -39,8 +39,10 @@ def _named(spark: SparkSession, target: str, runs: Sequence[str]) -> set[str]:
 
 
 def _ends(folder: str) -> datetime:
-    """When the hour, or the day where there is no hour, of a folder is over."""
+    """When the hour, or the day where there is no hour, of a folder is over; never for rows without a time."""
     at = {name: int(value) for name, value in re.findall(r"(\w+)=(\d+)", folder) if name in SLOT}
+    if not {"year", "month", "day"} <= set(at) or "__HIVE_DEFAULT_PARTITION__" in folder:
+        return datetime.max
     start = datetime(at["year"], at["month"], at["day"], at.get("hour", 0))
     return start + (timedelta(hours=1) if "hour" in at else timedelta(days=1))
 
