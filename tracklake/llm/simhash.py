@@ -146,6 +146,22 @@ def numbered_links(prints: DataFrame, bits: int = 3) -> DataFrame:
     return found.select(F.shiftright("key", 40).cast("int").alias("which"), "a", "b")
 
 
+def majority(hashes: np.ndarray, k: int = 0) -> int:
+    """Bits set in over half of the hashes, as a signed long; with ``k`` those of the hashes mixed anew."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)]
+        if k:
+            with np.errstate(over="ignore"):
+                part = part + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+                part = (part ^ (part >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                part = (part ^ (part >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                part = part ^ (part >> np.uint64(31))
+        bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(total * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: str | None, shingle: int, count: int = 1) -> list[int]:
     """``count`` fingerprints as signed longs, all zero without words.
 
@@ -164,21 +180,7 @@ def fingerprint(text: str | None, shingle: int, count: int = 1) -> list[int]:
     ends = (ends[size - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[s:e], 42) for s, e in zip(starts, ends, strict=False)], dtype=np.uint64)
-    out = []
-    for k in range(count):
-        total = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), 1 << 16):
-            part = hashes[at : at + (1 << 16)]
-            if k:
-                with np.errstate(over="ignore"):
-                    part = part + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
-                    part = (part ^ (part >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-                    part = (part ^ (part >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-                    part = part ^ (part >> np.uint64(31))
-            bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            total += bits.sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(total * 2 > len(hashes), bitorder="little").view("<i8")[0]))
-    return out
+    return [majority(hashes, k) for k in range(count)]
 
 
 def fingerprints(

@@ -1,11 +1,15 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands find candidates, exact sets decide.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash fingerprints with Golay keys find candidates, MinHash bands
+those that fingerprints miss, exact sets decide.
 
 A text is its set of distinct five-word shingles (the whole of a shorter text), folded to lower case and single spaces; equal sets are
-one *node* before anything is joined. Each node has ``BANDS`` bands of ``ROWS`` minima. Two sets of similarity s share a band with
+one *node* before anything is joined. Each node has the fingerprint of its set (``simhash.majority``), and fingerprints within three bits are
+linked by their Golay keys; what they connect is compared first. At a similarity of 0.8 some ten of 64 bits differ, so the keys alone
+would miss most pairs near the limit. Therefore each node also has ``BANDS`` bands of ``ROWS`` minima, by which nodes that are still in
+several components are compared. Two sets of similarity s share a band with
 probability 1 - (1 - s^8)^64, whatever their sizes: at 0.8 eight pairs in a million are missed, above it fewer. No pair below the
 similarity is ever linked, as every candidate is verified by its sets.
 
-A bucket (the nodes of a band's value) is not multiplied out: its nodes are compared with its smallest one first, which is one row per
+A bucket (the nodes of connected fingerprints, or of a band's value) is not multiplied out: its nodes are compared with its smallest one first, which is one row per
 node. A bucket whose nodes are then still in several components is compared in blocks of bounded size: a task counts what the sets of
 two blocks share by a matrix product, and returns a forest over the components, never pairs. So the rows grow with the
 nodes, and the components are still those of all candidate pairs.
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tracklake.llm.common import fresh, stored, text_key
 from tracklake.llm.components import component_roots
+from tracklake.llm.simhash import links_within, majority
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 64, 8
@@ -80,20 +85,21 @@ def _alike(a: Column, b: Column, similarity: float) -> Column:
 
 
 def _nodes(keyed: DataFrame, shingle: int) -> DataFrame:
-    """``id``, ``key``, ``node``, ``n`` (size of the set) and ``bands`` of rows (``id``, ``key``, ``text``)."""
+    """``id``, ``key``, ``node``, ``n`` (size of the set), ``fp`` (its fingerprint) and ``bands`` of rows (``id``, ``key``, ``text``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (shingle_set(t.as_py(), shingle) for t in batch.column(2))
-            rows = [(node_of(s), len(s), band_keys(s)) for s in sets]
-            node, n, bands = ([r[k] for r in rows] for k in range(3))
+            rows = [(node_of(s), len(s), majority(s), band_keys(s)) for s in sets]
+            node, n, fp, bands = ([r[k] for r in rows] for k in range(4))
+            numbers = [pa.array(c, pa.int64()) for c in (node, n, fp)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["id", "key", "node", "n", "bands"],
+                [*batch.columns[:2], *numbers, pa.array(bands, pa.list_(pa.int64()))],
+                names=["id", "key", "node", "n", "fp", "bands"],
             )
 
     id_type = keyed.schema["id"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"id {id_type}, key string, node bigint, n bigint, bands array<bigint>")
+    return keyed.mapInArrow(run, f"id {id_type}, key string, node bigint, n bigint, fp bigint, bands array<bigint>")
 
 
 def _sets(keyed: DataFrame, table: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -195,18 +201,35 @@ def _across(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return dealt.groupBy("band", "i", "j").applyInArrow(run, "a bigint, b bigint")
 
 
-def _roots(keyed: DataFrame, table: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``node`` and ``root`` of every node that is linked to another."""
-    each = table.groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
-    members = each.select("node", "n", F.explode("bands").alias("band"))
+def _print_groups(each: DataFrame) -> DataFrame:
+    """Nodes by the fingerprints that Golay keys connect: ``node``, ``n`` and ``band`` (the smallest of these fingerprints)."""
+    roots = component_roots(links_within(each, "fp"), "a", "b")
+    grouped = each.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return grouped.select("node", "n", F.coalesce("root", "fp").alias("band"))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` that ``roots`` has not united yet."""
+    for end, root in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(roots.withColumnsRenamed({"node": end, "root": root}), end, "left")
+    return pairs.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
+
+
+def _united(
+    keyed: DataFrame, table: DataFrame, members: DataFrame, known: DataFrame | None, shingle: int, similarity: float
+) -> DataFrame:
+    """``node`` and ``root`` of every node linked to another within a ``band`` of ``members``, or by the roots ``known`` before."""
     heads = members.groupBy("band").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
     shared = stored(members.join(heads, "band"), "buckets")
     fits = _alike(F.col("n"), F.col("head.n"), similarity)
     first = shared.where((F.col("node") != F.col("head.node")) & fits)
-    first = stored(first.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct(), "first-pairs")
+    first = first.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
+    first = stored(first if known is None else _apart(first, known), "first-pairs")
     ends = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = stored(_verified(first, _sets(keyed, table, ends, shingle), similarity), "first-links")
-    roots = stored(component_roots(links, "a", "b"), "first-roots")
+    links = _verified(first, _sets(keyed, table, ends, shingle), similarity)
+    if known is not None:
+        links = links.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = stored(component_roots(stored(links, "first-links"), "a", "b"), "first-roots")
 
     # Buckets whose nodes are not all in one component: what is across components is still to be compared.
     placed = shared.join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("c"))
@@ -221,6 +244,13 @@ def _roots(keyed: DataFrame, table: DataFrame, shingle: int, similarity: float)
     return lower.unionByName(above.join(roots, "node", "left_anti").select("node", "root"))
 
 
+def _roots(keyed: DataFrame, table: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``node`` and ``root`` of every node that is linked to another: by fingerprints first, then by bands across what these united."""
+    each = table.where("n > 0").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", "bands")])
+    near = stored(_united(keyed, table, _print_groups(each), None, shingle, similarity), "print-roots")
+    return _united(keyed, table, each.select("node", "n", F.explode("bands").alias("band")), near, shingle, similarity)
+
+
 def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
