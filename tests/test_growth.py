@@ -5,9 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SMALL
+from tests.conftest import SMALL, rows
+from tracklake.operators import incremental, merge_by_key
+from tracklake.plans import advance as upkeep
+from tracklake.plans.models import Models
 from tracklake.streaming import decoded_with_context, file_sink, rejected
 from tracklake.testbed.queries import QUERIES
+from tracklake.testbed.shapes import Shapes
 
 
 @pytest.mark.parametrize("name", ["stream_dedup_native", "stream_late_rows"])
@@ -35,3 +39,50 @@ def test_a_message_is_parsed_once(spark):
     letters = rejected(decoded_with_context(received, "user_info"))
     assert sorted(r["reason"] for r in letters.collect()) == ["empty message", "unreadable field"]
     assert letters._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
+def test_noted_keys_are_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(_):
+        seen.add(1)
+        return True
+
+    journal = upkeep.Journal(spark, str(tmp_path))
+    journal.note("users", spark.range(5).where(counted("id")))
+    assert seen.value == 5 and sorted(r["id"] for r in journal.read("users").collect()) == list(range(5))
+    journal.note("spans", spark.range(0))
+    assert journal.read("spans") is None and journal.read("days") is None
+
+
+def test_what_differs_either_way_meets_null_with_null(spark):
+    new = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "b"), (3, "n"), (3, "n")], "k int, v string")
+    old = spark.createDataFrame([("a", 1), (None, 2), ("b", None), ("c", 2)], "v string, k int")
+    differing = upkeep.either_way(new, old)
+    assert rows(differing, "k", "v") == [(2, "c"), (3, "n")]
+    plan = differing._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_arrivals_are_stored_and_counted_once(spark, tmp_path, monkeypatch):
+    counted, s, early = [], Shapes(spark, SMALL), "ts < 1705363200000"
+    plain = incremental.require_unique
+    monkeypatch.setattr(incremental, "require_unique", lambda df, keys: (counted.append(tuple(keys)), plain(df, keys)))
+    for part in (early, f"NOT {early}"):
+        new = {n: s[n].where(part) for n in ("listen_events", "status_change_events", "user_info")}
+        tables = upkeep.advance(spark, str(tmp_path), new, s["songs"], s["locations"])
+    assert set(counted) == {("user_id",)}  # the others have one row per key already
+    assert tables["fact_listen_events"].count() == Models(s)["fact_listen_events"].count()
+
+
+def test_a_swap_gathers_its_rows_once(spark, tmp_path, monkeypatch):
+    path, hints = str(tmp_path / "t"), []
+    make = lambda *r: spark.createDataFrame(list(r), "k int, v string, d int")
+    merge_by_key(path, make((1, "a", 1), (2, "a", 2)), ["k"], "d", ["v"])
+    frame = type(spark.range(1))
+    plain = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, *a: (hints.append(a), plain(df, *a))[1])
+    merge_by_key(path, make((1, "b", 1), (3, "b", 2)), ["k"], "d", ["v"])
+    assert hints == [("rebalance", "d")]
+    assert rows(spark.read.parquet(path), "k", "v", "d") == [(1, "b", 1), (2, "a", 2), (3, "b", 2)]
