@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from threading import Barrier
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, rows
 from tracklake.operators import incremental, merge_by_key
 from tracklake.plans import advance as upkeep
-from tracklake.plans.models import Models
+from tracklake.plans import refresh as refreshing
+from tracklake.plans.models import MODELS, Models
 from tracklake.streaming import decoded_with_context, file_sink, rejected
 from tracklake.testbed.queries import QUERIES
 from tracklake.testbed.shapes import Shapes
@@ -86,3 +89,31 @@ def test_a_swap_gathers_its_rows_once(spark, tmp_path, monkeypatch):
     merge_by_key(path, make((1, "b", 1), (3, "b", 2)), ["k"], "d", ["v"])
     assert hints == [("rebalance", "d")]
     assert rows(spark.read.parquet(path), "k", "v", "d") == [(1, "b", 1), (2, "a", 2), (3, "b", 2)]
+
+
+def test_models_that_do_not_read_each_other_are_stored_side_by_side(spark, tmp_path, monkeypatch):
+    met, plain = Barrier(2, timeout=60), refreshing.store
+
+    def together(*args, **options):
+        met.wait()
+        plain(*args, **options)
+
+    monkeypatch.setattr(refreshing, "store", together)
+    names = ("dim_songs", "dim_locations")
+    assert set(refreshing.refresh(spark, str(tmp_path), Shapes(spark, SMALL), names=names)) == set(names)
+
+
+def test_no_model_reads_one_of_its_own_wave_or_a_later_one(spark):
+    class Asked(dict):
+        def __contains__(self, name):
+            read.add(name)
+            return False
+
+    assert sorted(n for wave in refreshing.WAVES for n in wave) == sorted(MODELS)
+    before: set = set()
+    for wave in refreshing.WAVES:
+        for name in wave:
+            read: set = set()
+            getattr(Models(Shapes(spark, SMALL), Asked()), name)
+            assert read <= before, name
+        before |= set(wave)
