@@ -131,3 +131,13 @@ def test_deal_is_a_plain_least_cost_loop():
                 queue = sorted([*queue, (take + n, serial, doc)])
                 serial += 1
         assert placed[:count] == plain
+
+
+def test_frequent_parts_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_PARTS", 3)
+    parts, encoded = packing.PartIds(*tokenizer_files()), []
+    whole = parts.whole
+    monkeypatch.setattr(parts, "whole", lambda text: encoded.append(text) or whole(text))
+    for k in range(20):
+        assert parts.ids(f"x often rare{k}") == whole(f"x often rare{k}")
+    assert encoded.count(" often") == 1 and len(parts) + len(parts.older) <= 6

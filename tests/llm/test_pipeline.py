@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 
 import check
@@ -49,3 +50,17 @@ def test_stages_bear_odd_rows_and_empty_tables(spark):
                 assert out.columns == docs.columns
                 docs = out
         assert out.count() >= 0
+
+
+def test_workers_get_a_few_megabytes_of_long_texts_at_once(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat('long text ', 1000) AS text")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        dict(corpus_pipeline.STAGES)["packing"](spark, docs, SMALL)
+        assert max(r["n"] for r in docs.mapInArrow(sizes, "n bigint").collect()) < 5_000_000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")

@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 
 from tracklake.session import scratch_dir
 
+BATCH_BYTES = "4m"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -24,6 +26,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, limit: str = BATCH_BYTES) -> None:
+    """Python workers get, and hold, rows of at most ``limit`` at once, however long their texts (from one row on)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)
+
+
 def process_cache(key: str, make: Callable[[], object]) -> object:
     """One object per Python worker process, kept across its tasks (functions travel by value, modules do not)."""
     holder = sys.modules.setdefault("_tracklake_process_cache", types.ModuleType("_tracklake_process_cache"))

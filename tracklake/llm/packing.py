@@ -27,16 +27,21 @@ from pyspark.sql.types import StructField, StructType
 
 from tracklake.llm.common import extended, process_cache
 
-CACHED_PARTS = 400_000
+CACHED_PARTS = 150_000
 
 
 class PartIds(dict):
-    """What follows a space, to its ids with that space, as little-endian unsigned 32-bit bytes; starts anew when it is full."""
+    """What follows a space, to its ids with that space, as little-endian unsigned 32-bit bytes.
+
+    When it is full it starts anew beside what it held, from where parts that come again are taken over: frequent parts stay, and at
+    most twice ``CACHED_PARTS`` are held.
+    """
 
     def __init__(self, ranks: bytes, pattern: str, added: dict[str, int] | None = None) -> None:
         super().__init__()
         import tiktoken
 
+        self.older: dict[str, bytes] = {}
         self.added = {token: struct.pack("<I", number) for token, number in (added or {}).items()}
         longest = sorted(self.added, key=len, reverse=True)
         self.split_added = re.compile(f"({'|'.join(map(re.escape, longest))})").split if longest else None
@@ -54,8 +59,9 @@ class PartIds(dict):
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= CACHED_PARTS:
+            self.older = dict(self)
             self.clear()
-        out = self[part] = self.whole(" " + part)
+        out = self[part] = self.older.get(part) or self.whole(" " + part)
         return out
 
     def ids(self, text: str) -> bytes:
@@ -194,8 +200,7 @@ def pack(
             rows, rests = [], []
 
             def put(k: int, start: int, size: int, offset: int) -> None:
-                blob = blobs[k]
-                rows.append((names[k], start, size, blob[4 * start : 4 * (start + size)], len(blob) // 4, next_id, offset))
+                rows.append((k, start, size, next_id, offset))
 
             for k, blob in enumerate(blobs):
                 n = len(blob) // 4
@@ -213,7 +218,11 @@ def pack(
                     offset += size
                 next_id += 1
             for i in range(0, len(rows), 4096):
-                columns = list(zip(*rows[i : i + 4096], strict=True))
+                some = [
+                    (names[k], start, size, blobs[k][4 * start : 4 * (start + size)], len(blobs[k]) // 4, sequence, offset)
+                    for k, start, size, sequence, offset in rows[i : i + 4096]
+                ]
+                columns = list(zip(*some, strict=True))
                 types = [id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names
@@ -221,9 +230,9 @@ def pack(
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                names.append(name)
-                blobs.append(parts.ids(text) + end)
+            for name, text in zip(*batch.columns, strict=True):
+                names.append(name.as_py())
+                blobs.append(parts.ids(text.as_py()) + end)
                 held += len(blobs[-1]) // 4
                 if held >= window_tokens:
                     yield from flush()

@@ -366,14 +366,14 @@ def pseudonymise(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = [], []
-            for text, own in zip(batch.column(at).to_pylist(), batch.column(more).to_pylist(), strict=True):
-                own = dict(own or ())
+            for text, own in zip(batch.column(at), batch.column(more), strict=True):
+                own = dict(own.as_py() or ())
 
                 def of(kind: str, value: str, own: dict = own) -> str:
                     attempt = own.get(f"{kind}\0{value}", table.get((kind, value), 0))
                     return surrogate(key, kind, value, attempt)
 
-                new, found = replace_in(text, of)
+                new, found = replace_in(text.as_py(), of)
                 texts.append(new)
                 spans.append([{"start": s, "end": e, "kind": k} for s, e, k in found])
             columns = list(batch.columns)
