@@ -12,7 +12,10 @@ from tracklake.operators import incremental, merge_by_key
 from tracklake.plans import advance as upkeep
 from tracklake.plans import refresh as refreshing
 from tracklake.plans.models import MODELS, Models
-from tracklake.streaming import decoded_with_context, file_sink, rejected
+from tracklake.schemas import WIRE
+from tracklake.settings import IngestSettings
+from tracklake.streaming import decoded_with_context, doubtful, file_sink, rejected, topic_writers
+from tracklake.streaming import run as running
 from tracklake.testbed.queries import QUERIES
 from tracklake.testbed.shapes import Shapes
 
@@ -44,6 +47,53 @@ def test_a_message_is_parsed_once(spark):
     assert letters._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
 
 
+MESSAGE = "value binary, topic string, partition int, offset long"
+
+
+def test_what_is_readable_at_a_glance_is_not_parsed_for_dead_letters(spark):
+    s, left = Shapes(spark, SMALL), {}
+    for topic, schema in WIRE.items():
+        names = [n for n in schema.names if n in s[topic].columns]
+        sent = s[topic].select(F.to_json(F.struct(*names)).cast("binary").alias("value"))
+        left[topic] = doubtful(sent, topic).count()
+    assert left == dict.fromkeys(WIRE, 0)
+
+
+ODD_VALUES = (
+    '"x"', '"é\U0001f3b5"', '""', r'"a\"b\\\/\b\f\n\r\t"', r'"\u00e9"', r'"\q"', '"\t"', '"\x1f"', '"\x7f"', r'"end\"', '"open', "0", "-0", "7", "-7", "007", "+7",
+    "7.", ".5", "7.25", "-7.25E-3", "7e3", "1E400", "2147483648", "-2147483649", "999999999", "9223372036854775808", "1" * 40, "NaN",
+    "Infinity", "true", "false", "True", "null", "", "[1]", '{"a":1}', '"' + r"\n" * 60 + '"', '"7"',
+)
+
+
+def test_no_dead_letter_is_readable_at_a_glance(spark):
+    """Every value in a field of every type, and objects that are none: the same letters as without the glance."""
+    texts = ["", "{}", "x", "[]", '{"ts":1}', ' {"ts":1}', '{"ts":1} ', '{"ts":1}x', '{"ts":1}{"ts":2}', '{"ts":1,}', '{"ts":1', '{"ts":1,,"page":"a"}',
+             '{"userId":1}', '{"ts":1,"page":"a" "auth":"b"}', '{"ts":1,"ts":"x"}', '{"page":"a","ts":1}', '{"ts":1,"other":2}', '{"TS":1}',
+             '{"ts": 1, "page": "a"}', '{"ts":0}', '{"ts":99999999999999}', '{"ts":253402300800000}', '{"ts":-62135596800001}', "\ufeff{\"ts\":1}"]
+    texts += ['{"ts":%s}' % v for v in ODD_VALUES]
+    texts += ['{"ts":1704067200000,"%s":%s,"userId":5}' % (n, v) for n in ("page", "status", "lon", "song") for v in ODD_VALUES]
+    texts += ['{"ts":1704067200000,"success":%s}' % v for v in ODD_VALUES] + ['{"ts":1704067200000,"registration":%s}' % v for v in ODD_VALUES]
+    sent = [t.encode() for t in texts] + [b'{"ts":1,"page":"\xff\xc3"}', b'{"ts":1,"page":"\xed\xa0\x80"}', b"\xff", None]
+    sent += [b'{"ts":1,"page":"' + b"a" * n + b'"}' for n in (500_000, 1_500_000)]
+    for topic in ("page_view_events", "auth_events", "user_info"):
+        received = spark.createDataFrame([(v and bytearray(v), topic, 0, i) for i, v in enumerate(sent)], MESSAGE)
+        found = rows(rejected(decoded_with_context(doubtful(received, topic), topic)), "offset", "reason")
+        assert found == rows(rejected(decoded_with_context(received, topic)), "offset", "reason")
+        assert len(found) > 10 and doubtful(received, topic).count() < received.count()
+
+
+def test_topics_look_for_letters_at_a_glance(spark, tmp_path, monkeypatch):
+    parsed, plain = [], running.decoded_with_context
+    monkeypatch.setattr(running, "decoded_with_context", lambda df, topic: (parsed.append(df), plain(df, topic))[1])
+    (tmp_path / "in" / "user_info").mkdir(parents=True)
+    settings = IngestSettings(
+        lake_root=str(tmp_path / "lake"), checkpoint_root=str(tmp_path / "cp"), source="files", files_root=str(tmp_path / "in"), run_once=True,
+    )
+    topic_writers(spark, settings, "user_info")
+    assert len(parsed) == 1 and "RLIKE" in parsed[0]._jdf.queryExecution().analyzed().toString().upper()
+
+
 def test_noted_keys_are_computed_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 

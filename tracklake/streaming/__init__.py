@@ -1,5 +1,5 @@
 from .archive import archive_frame, start_archive
-from .decode import decode_events, decoded_with_context, readable, rejected
+from .decode import decode_events, decoded_with_context, doubtful, readable, rejected
 from .dedup import dedup_sink, dedup_stream
 from .run import file_sink, health, keep_running, run_topics, start_topic, supervise, topic_writers
 
@@ -9,6 +9,7 @@ __all__ = [
     "decoded_with_context",
     "dedup_sink",
     "dedup_stream",
+    "doubtful",
     "file_sink",
     "health",
     "keep_running",
