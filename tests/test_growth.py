@@ -61,7 +61,7 @@ def test_what_is_readable_at_a_glance_is_not_parsed_for_dead_letters(spark):
 
 ODD_VALUES = (
     '"x"', '"é\U0001f3b5"', '""', r'"a\"b\\\/\b\f\n\r\t"', r'"\u00e9"', r'"\q"', '"\t"', '"\x1f"', '"\x7f"', r'"end\"', '"open', "0", "-0", "7", "-7", "007", "+7",
-    "7.", ".5", "7.25", "-7.25E-3", "7e3", "1E400", "2147483648", "-2147483649", "999999999", "9223372036854775808", "1" * 40, "NaN",
+    "7.", ".5", "7.25", "-7.25E-3", "7e3", "1E400", "2147483648", "-2147483649", "999999999", "1999999999", "2099999999", "-2099999999", "2100000000", "10000000000", "9223372036854775808", "1" * 40, "NaN",
     "Infinity", "true", "false", "True", "null", "", "[1]", '{"a":1}', '"' + r"\n" * 60 + '"', '"7"',
 )
 
@@ -83,6 +83,13 @@ def test_no_dead_letter_is_readable_at_a_glance(spark):
         assert len(found) > 10 and doubtful(received, topic).count() < received.count()
 
 
+@pytest.mark.parametrize("session, parsed", [(0, 0), (1_999_999_999, 0), (-2_099_999_999, 0), (2_147_483_648, 1), (10_000_000_000, 1)])
+def test_session_numbers_of_ten_digits_are_readable_at_a_glance(spark, session, parsed):
+    value = bytearray(b'{"ts":1704067200000,"sessionId":%d,"userId":5}' % session)
+    received = spark.createDataFrame([(value, "auth_events", 0, 0)], MESSAGE)
+    assert doubtful(received, "auth_events").count() == parsed
+
+
 def test_topics_look_for_letters_at_a_glance(spark, tmp_path, monkeypatch):
     parsed, plain = [], running.decoded_with_context
     monkeypatch.setattr(running, "decoded_with_context", lambda df, topic: (parsed.append(df), plain(df, topic))[1])
