@@ -100,3 +100,13 @@ def test_one_of_each_group_over_several_fingerprints(spark):
     kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in components(rows, 4)}
     assert kept.where("doc_id >= 10000").count() <= 2
+
+
+def test_no_key_is_broadcast(spark):
+    """Some 40 keys a fingerprint: a table of keys that Spark takes for a small one may be of GBs."""
+    prints = spark.range(0, 2000, 1, 4).selectExpr("xxhash64(id) AS fp")
+    prints = prints.unionByName(prints.selectExpr("fp ^ 7 AS fp"))
+    links = simhash.links_within(prints, "fp")
+    assert links.count() == 2000
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan

@@ -31,6 +31,15 @@ def small_batches(spark: SparkSession, limit: str = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)
 
 
+def by_sorting(df: DataFrame) -> DataFrame:
+    """A side of a join that is shuffled and sorted, never broadcast, with the other side.
+
+    Spark sizes what Python or an explode makes like what went in, and a stored table by its compressed files. So it may broadcast a
+    table of GBs that it takes for one of less than ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    return df.hint("merge")
+
+
 def process_cache(key: str, make: Callable[[], object]) -> object:
     """One object per Python worker process, kept across its tasks (functions travel by value, modules do not)."""
     holder = sys.modules.setdefault("_tracklake_process_cache", types.ModuleType("_tracklake_process_cache"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm.common import drop_named, extended, fresh, stored, text_key
+from tracklake.llm.common import by_sorting, drop_named, extended, fresh, stored, text_key
 from tracklake.llm.components import component_roots
 
 GENERATOR = 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
@@ -142,7 +142,7 @@ def numbered_links(prints: DataFrame, bits: int = 3) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     near = (a < b) & (F.bit_count(a.bitwiseXOR(b)) <= bits)
     rule = F.shiftright("key", 36).bitwiseAND(F.lit(7).cast("bigint")).cast("int") == _own_rule(a, b)
-    found = left.join(right, "key").where(near & rule)
+    found = left.join(by_sorting(right), "key").where(near & rule)  # some 40 keys per fingerprint
     return found.select(F.shiftright("key", 40).cast("int").alias("which"), "a", "b")
 
 
@@ -216,7 +216,7 @@ def near_duplicates(
     rooted = each.join(roots, F.col("fp") == F.col("node"), "left")
     rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    out = prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp")
+    out = by_sorting(prints).join(rooted.join(named, "root").select("fp", "component_id"), "fp")
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return out.select(F.col("id").alias(id_col), "fp", hexadecimal, "component_id")
 
