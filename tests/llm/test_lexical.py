@@ -4,10 +4,13 @@ import math
 import random
 import re
 from collections import Counter
+from functools import partial
+
+import pyarrow.parquet as pq
 
 from tests.conftest import SMALL
 from tracklake.llm import lexical
-from tracklake.llm.common import read
+from tracklake.llm.common import read, stored
 from tracklake.llm.queries import QUERIES
 
 from .helpers import no_documents, odd_documents, sorted_rows
@@ -114,3 +117,22 @@ def test_postings_survive_wide_gaps_and_frequencies():
     assert docs.tolist() == [0, 70_001] and int(row["block_tf"][shard.start[k]]) == 70_000
     k = shard.lists[b"z"]
     assert shard.blocks(b"z", range(shard.start[k], shard.start[k + 1]))[0].tolist() == list(range(1, 70_002))
+
+
+def test_a_reader_unpacks_one_shard_at_a_time(spark, monkeypatch):
+    files = []
+
+    def keep(df, label, *more):
+        out = stored(df, label, *more)
+        files.extend(out.inputFiles() if label == "lexical-index" else [])
+        return out
+
+    rows = made(3, 200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    queries = spark.createDataFrame([(1, "c1 r5")], "item_id long, text string")
+    monkeypatch.setattr(lexical, "stored", keep)
+    monkeypatch.setattr(lexical, "build_index", partial(lexical.build_index, shard_docs=17))
+    assert sorted_rows(lexical.ranked_search(docs, queries, k=7)) == brute(rows, {1: {"c1", "r5"}}, 7)
+    held = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in files]
+    assert sum(m.num_rows for m in held) == 12
+    assert all(m.row_group(k).num_rows == 1 for m in held for k in range(m.num_row_groups))

@@ -19,10 +19,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: a short lineage that outlives lost executors."""
+def stored(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it back: a short lineage that outlives lost executors.
+
+    ``options`` are those of Spark's writer.
+    """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,6 +11,9 @@ candidates found until then, the block maxima of the non-essential lists are add
 rejected before a block is decompressed. The survivors' blocks are read, the heap of the task carries its threshold on to the
 task's next shard, and the heaps of all tasks are merged by one small shuffle.
 
+A row of the index has some MB. It is stored as a row group of its own, and goes to Python alone, so that a task holds one shard
+at a time: readers unpack all rows of a row group together, up to 4,096.
+
 Scores are whole numbers, so a candidate is rejected only if its bound is *below* the threshold: equal scores are ranked by id.
 """
 
@@ -26,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklake.llm.common import stored
+from tracklake.llm.common import small_batches, stored
 
 BLOCK = 128
+#: Of Parquet's writer: each shard is a row group.
+ONE_BY_ONE = {"parquet.block.row.count.limit": "1"}
 WIDTHS = (1, 2, 4)
 
 #: Bytes that separate terms become a space, A-Z become a-z; every byte of a character beyond ASCII belongs to a term.
@@ -59,29 +64,55 @@ def _pack(data: np.ndarray, at: np.ndarray, values: np.ndarray, widths: np.ndarr
         data[at[some][:, None] + np.arange(width)] = raw
 
 
+class Held:
+    """Documents of a shard in the making: the numbers of their terms, by arrival, and how often each occurs."""
+
+    def __init__(self) -> None:
+        self.ids: list[int | None] = []
+        self.number: dict[bytes, int] = {}
+        self.terms: list[np.ndarray] = []
+        self.tf: list[np.ndarray] = []
+
+    def add(self, doc: int | None, count: Counter) -> None:
+        number = self.number
+        self.ids.append(doc)
+        self.terms.append(np.fromiter((number.setdefault(t, len(number)) for t in count), np.int32, len(count)))
+        self.tf.append(np.fromiter(count.values(), np.int32, len(count)))
+
+
 def shard_of(ids: list[int | None], counts: list[Counter]) -> dict[str, object]:
     """The index row of one shard: ``counts`` has the term frequencies of each document."""
-    sizes = np.fromiter(map(len, counts), np.int64, len(counts))
-    lengths = np.fromiter((sum(c.values()) for c in counts), np.int64, len(counts))
-    used = [t for c in counts for t in c]
-    vocabulary = sorted(set(used))
-    number = {t: k for k, t in enumerate(vocabulary)}
-    term = np.fromiter(map(number.__getitem__, used), np.int64, len(used))
+    held = Held()
+    for doc, count in zip(ids, counts, strict=True):
+        held.add(doc, count)
+    return shard_row(held)
+
+
+def shard_row(held: Held) -> dict[str, object]:
+    """The index row of the documents held."""
+    none = np.zeros(0, np.int32)
+    sizes = np.fromiter(map(len, held.terms), np.int64, len(held.terms))
+    lengths = np.fromiter((n.sum(dtype=np.int64) for n in held.tf), np.int64, len(held.tf))
+    vocabulary = sorted(held.number)
+    rank = np.zeros(len(vocabulary), np.int32)
+    rank[np.fromiter(map(held.number.__getitem__, vocabulary), np.int64, len(vocabulary))] = np.arange(len(vocabulary))
+    term = rank[np.concatenate([none, *held.terms])]
     order = np.argsort(term, kind="stable")
     term = term[order]
-    doc = np.repeat(np.arange(len(counts)), sizes)[order]
-    tf = np.fromiter((n for c in counts for n in c.values()), np.int64, len(used))[order]
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+    tf = np.concatenate([none, *held.tf])[order]
+    del order
     df = np.bincount(term, minlength=len(vocabulary))
     start = np.concatenate([[0], np.cumsum(df)])
     blocks = -(-df // BLOCK)
     list_start = np.concatenate([[0], np.cumsum(blocks)])
     place = np.arange(len(term)) - start[term]
     block = list_start[term] + place // BLOCK
-    inside = place % BLOCK
+    inside = (place % BLOCK).astype(np.int32)
     first = np.flatnonzero(inside == 0)
-    gap = doc - np.where(place == 0, -1, np.concatenate([[-1], doc[:-1]])) - 1
+    gap = doc - np.where(place == 0, -1, np.concatenate([[np.int32(-1)], doc[:-1]])) - 1
+    del place
     size = np.diff(np.append(first, len(term)))
-    none = np.zeros(0, np.int64)
     top = lambda values, how: how.reduceat(values, first) if len(first) else none
     gap_width, tf_width = _widths(top(gap, np.maximum)), _widths(top(tf, np.maximum))
     at = np.concatenate([[0], np.cumsum(size * (gap_width.astype(np.int64) + tf_width))])
@@ -89,9 +120,9 @@ def shard_of(ids: list[int | None], counts: list[Counter]) -> dict[str, object]:
     _pack(data, at[block] + inside * gap_width[block], gap, gap_width[block])
     _pack(data, at[block] + size[block] * gap_width[block] + inside * tf_width[block], tf, tf_width[block])
     return {
-        "ids": ids, "lengths": lengths, "terms": b"\n".join(vocabulary), "list_start": list_start.astype(np.int32),
+        "ids": held.ids, "lengths": lengths, "terms": b"\n".join(vocabulary), "list_start": list_start.astype(np.int32),
         "list_docs": df.astype(np.int32), "block_last": doc[first + size - 1].astype(np.int32),
-        "block_tf": top(tf, np.maximum), "block_least": top(lengths[doc], np.minimum), "block_at": at,
+        "block_tf": top(tf, np.maximum).astype(np.int64), "block_least": top(lengths[doc], np.minimum), "block_at": at,
         "gap_width": gap_width, "tf_width": tf_width, "postings": data.tobytes(),
         "n_docs": int((lengths > 0).sum()), "n_terms": int(lengths.sum()),
     }
@@ -111,25 +142,22 @@ def build_index(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
-        ids: list[int | None] = []
-        counts: list[Counter] = []
-        held = 0
+        held, chars = Held(), 0
 
         def row() -> pa.RecordBatch:
-            made = shard_of(ids, counts)
+            made = shard_row(held)
             arrays = [pa.array([made[name]], to_arrow_type(kind)) for name, kind in types.items()]
             return pa.RecordBatch.from_arrays(arrays, names=list(types))
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = text.as_py()
-                ids.append(doc)
-                counts.append(Counter(terms_of(words)))
-                held += len(words or "")
-                if len(ids) >= shard_docs or held >= shard_chars:
+                held.add(doc, Counter(terms_of(words)))
+                chars += len(words or "")
+                if len(held.ids) >= shard_docs or chars >= shard_chars:
                     yield row()
-                    ids, counts, held = [], [], 0
-        if ids:
+                    held, chars = Held(), 0
+        if held.ids:
             yield row()
 
     return rows.mapInArrow(run, INDEX)
@@ -325,5 +353,6 @@ def ranked_search(
     query_col: str = "text", k: int = 50,
 ) -> DataFrame:
     """Index ``docs``, write the index to the shared folder, and :func:`search` it."""
-    index = stored(build_index(docs, id_col, text_col), "lexical-index")
+    small_batches(docs.sparkSession)
+    index = stored(build_index(docs, id_col, text_col), "lexical-index", ONE_BY_ONE)
     return search(index, queries, key_col, query_col, k, id_col)
