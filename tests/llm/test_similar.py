@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from tests.conftest import SMALL
 from tracklake.llm import similar
@@ -127,3 +129,14 @@ def test_edge_rows(spark):
         docs.where("doc_id IN (1, 3, 5, 6, 7) OR doc_id IS NULL AND text IS NOT NULL").distinct().select("doc_id").collect(), key=repr
     )
     assert similar.deduplicate(no_documents(spark)).count() == 0
+
+
+def test_no_block_is_broadcast(spark):
+    """A bucket's rows become one per block, of which Spark's estimate knows nothing."""
+    hashes = [np.arange(k // 2 * 100, k // 2 * 100 + 50, dtype=np.uint64).tobytes() for k in range(1200)]
+    sets = spark.createDataFrame([(k, h) for k, h in enumerate(hashes)], "node bigint, hashes binary")
+    placed = spark.range(1200).selectExpr("1L AS band", "id AS node", "1200L AS size", "id AS c")
+    links = similar._across(placed, sets, 0.8)
+    assert {tuple(sorted(r)) for r in links.collect()} == {(k, k + 1) for k in range(0, 1200, 2)}
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan

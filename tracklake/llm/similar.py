@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklake.llm.common import fresh, stored, text_key
+from tracklake.llm.common import by_sorting, fresh, stored, text_key
 from tracklake.llm.components import component_roots
 from tracklake.llm.simhash import links_within, majority
 
@@ -190,7 +190,7 @@ def _across(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     mine = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = mine.select(
         "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "c", "node"
-    ).join(sets, "node")
+    ).join(by_sorting(sets), "node")  # a row of a table of compressed files became one per block
 
     def run(table: pa.Table) -> pa.Table:
         held = [np.frombuffer(h.as_py(), np.uint64) for h in table.column("hashes")]
@@ -220,7 +220,7 @@ def _united(
 ) -> DataFrame:
     """``node`` and ``root`` of every node linked to another within a ``band`` of ``members``, or by the roots ``known`` before."""
     heads = members.groupBy("band").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    shared = stored(members.join(heads, "band"), "buckets")
+    shared = stored(members.join(by_sorting(heads), "band"), "buckets")  # nodes times bands
     fits = _alike(F.col("n"), F.col("head.n"), similarity)
     first = shared.where((F.col("node") != F.col("head.node")) & fits)
     first = first.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
